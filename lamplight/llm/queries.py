@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamplight.llm.order_minhash import NearDuplicates
+from lamplight.llm.encode import encode_corpus
+from lamplight.llm.knn import similar_vectors
+from lamplight.llm.leakage import find_leaks
+from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
 from lamplight.session import table
 
 STEM_OPTIONS = {"unit": "char", "shingle": 3, "threshold": 0.5, "least": 3, "k": 3, "sample": 3, "tables": 96, "name": "omh-stem"}
@@ -21,5 +24,37 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return texts.unionByName(stems)
 
 
-QUERIES = {"p1_found": p1_found}
-ORACLES: dict[str, str] = {}
+def p1_records(spark: SparkSession, d: str) -> DataFrame:
+    """One row a record: its class and its links, at five-word shingles and similarity 0.8."""
+    return near_duplicate_records(table(spark, d, "research"), "row_id", "text", shingle=5, threshold=0.8, name="omh-records")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    near = similar_vectors(table(spark, d, "research"), "row_id", "vector", dim=64)
+    return near.select(F.least("id", "other").alias("row_id_a"), F.greatest("id", "other").alias("row_id_b")).distinct()
+
+
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode_corpus(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    cases = table(spark, d, "eval_cases")
+    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"]).select(F.col("id").alias("doc_id"), "case_id")
+
+
+def p7_edited(spark: SparkSession, d: str) -> DataFrame:
+    """Leaks with up to two word edits in twelve."""
+    cases = table(spark, d, "eval_cases")
+    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=12, sample=4).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited}
+ORACLES: dict[str, str] = {
+    "p7_found": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
+        c AS (SELECT case_id, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (SELECT case_id, query AS t FROM eval_cases UNION ALL SELECT case_id, passage FROM eval_cases) WHERE t IS NOT NULL),
+        dg AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 11)) AS i FROM d)),
+        cg AS (SELECT DISTINCT case_id, array_to_string(w[i:i + 11], ' ') AS g FROM (SELECT case_id, w, unnest(generate_series(1, len(w) - 11)) AS i FROM c))
+        SELECT DISTINCT doc_id, case_id FROM dg JOIN cg USING (g)""",
+}
