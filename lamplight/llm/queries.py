@@ -9,6 +9,8 @@ from lamplight.llm.encode import encode_corpus
 from lamplight.llm.knn import similar_vectors
 from lamplight.llm.leakage import find_leaks
 from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
+from lamplight.llm.quality import profile, text_kinds, text_statistics
+from lamplight.llm.reading_level import english_prose, reading_levels
 from lamplight.session import table
 
 STEM_OPTIONS = {"unit": "char", "shingle": 3, "threshold": 0.5, "least": 3, "k": 3, "sample": 3, "tables": 96, "name": "omh-stem"}
@@ -29,6 +31,20 @@ def p1_records(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_records(table(spark, d, "research"), "row_id", "text", shingle=5, threshold=0.8, name="omh-records")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return text_kinds(table(spark, d, "research"), "row_id", "text").where("kind <> 'prose'").select(F.col("id").alias("row_id"), "kind")
+
+
+def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics, robust z-scores and kind of every chunk with a text."""
+    return text_kinds(table(spark, d, "research"), "row_id", "text").withColumnRenamed("id", "row_id")
+
+
+def p3_profile(spark: SparkSession, d: str) -> DataFrame:
+    """By language, median and spread of each statistic over the corpus."""
+    return profile(text_statistics(table(spark, d, "documents"), "doc_id", "text"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     near = similar_vectors(table(spark, d, "research"), "row_id", "vector", dim=64)
     return near.select(F.least("id", "other").alias("row_id_a"), F.greatest("id", "other").alias("row_id_b")).distinct()
@@ -49,7 +65,16 @@ def p7_edited(spark: SparkSession, d: str) -> DataFrame:
     return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=12, sample=4).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited}
+def p8_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Band, confidence and difficulty of every document, and what kind of text it is."""
+    return reading_levels(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "reading_labels")).withColumnRenamed("id", "doc_id")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return english_prose(p8_levels(spark, d).withColumnRenamed("doc_id", "id")).select(F.col("id").alias("doc_id"), "band")
+
+
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
 ORACLES: dict[str, str] = {
     "p7_found": """
         WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
