@@ -6,5 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from lamplight.operators.packed import split_packed
+from lamplight.session import table
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return split_packed(table(spark, d, "metadata"), "meta_id", {"authors": "names", "subjects": "terms"}).withColumnRenamed("id", "meta_id")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found}
 ORACLES: dict[str, str] = {}
