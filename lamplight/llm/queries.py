@@ -11,6 +11,7 @@ from lamplight.llm.leakage import find_leaks
 from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
 from lamplight.llm.quality import profile, text_kinds, text_statistics
 from lamplight.llm.reading_level import english_prose, reading_levels
+from lamplight.llm.scan_repair import found_items, repair_scans
 from lamplight.session import table
 
 STEM_OPTIONS = {"unit": "char", "shingle": 3, "threshold": 0.5, "least": 3, "k": 3, "sample": 3, "tables": 96, "name": "omh-stem"}
@@ -50,6 +51,21 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near.select(F.least("id", "other").alias("row_id_a"), F.greatest("id", "other").alias("row_id_b")).distinct()
 
 
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    research = table(spark, d, "research").select(F.lit("research").alias("tab"), F.col("row_id").alias("rec"), "stem", "text")
+    files = table(spark, d, "files").where("out is not null").select(F.lit("files").alias("tab"), F.col("path").alias("rec"), "stem", F.col("out").alias("text")).distinct()
+    return research.unionByName(files)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return found_items(repair_scans(_scanned(spark, d)))
+
+
+def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every text of research and files as continuous paragraphs."""
+    return repair_scans(_scanned(spark, d)).select("tab", "rec", "repaired")
+
+
 def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
@@ -74,7 +90,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return english_prose(p8_levels(spark, d).withColumnRenamed("doc_id", "id")).select(F.col("id").alias("doc_id"), "band")
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
 ORACLES: dict[str, str] = {
     "p7_found": """
         WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
