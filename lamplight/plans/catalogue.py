@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from lamplight.operators.packed import split_packed
+from lamplight.plans import catalog, corpus, registry, retrieval, star
+from lamplight.plans.registry import ORACLES, QUERIES, query
 from lamplight.session import table
 
 
-def p2_found(spark: SparkSession, d: str) -> DataFrame:
+@query()
+def p2_found(spark, d):
+    """One row for each value of the packed cells of metadata."""
     return split_packed(table(spark, d, "metadata"), "meta_id", {"authors": "names", "subjects": "terms"}).withColumnRenamed("id", "meta_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"p2_found": p2_found}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "catalog", "corpus", "registry", "retrieval", "star"]
