@@ -58,7 +58,7 @@ def _scanned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return found_items(repair_scans(_scanned(spark, d)))
+    return found_items(repair_scans(_scanned(spark, d), with_text=False))
 
 
 def p5_repaired(spark: SparkSession, d: str) -> DataFrame:
