@@ -78,7 +78,7 @@ def kind_of(tail: float = 3.5) -> Column:
 
     Text is junk if it's mostly lines to fill in, or if few of its words are common and its character sequences lie in the lower tail or
     its symbols or characters beyond ASCII in the upper one; a table if most of it stands in rows of cells and few words are common; a
-    list if most of it stands in short entries and its share of common words is low, if not in the tail.
+    list if most of it stands in short entries and its share of common words is low, if not in the tail, or its lines hardly ever end a sentence.
     """
     few_common = (F.col("z_common_ratio") < -tail) | (F.col("common_ratio") < 0.12)
     low_common = F.col("z_common_ratio") < -tail / 2
@@ -90,6 +90,8 @@ def kind_of(tail: float = 3.5) -> Column:
         .when((F.col("form_ratio") >= 0.5) | junk, "junk")
         .when((F.col("cell_ratio") >= 0.5) & few_common, "table")
         .when((F.col("entry_ratio") >= 0.6) & low_common, "list")
+        .when((F.col("entry_ratio") >= 0.85) & (F.col("common_ratio") < 0.16), "list")
+        .when((F.col("entry_ratio") >= 0.6) & (F.col("line_end_ratio") < 0.15) & (F.col("common_ratio") < 0.205), "list")
         .when(few_common & (F.col("cell_ratio") >= F.col("entry_ratio")) & (F.col("cell_ratio") >= 0.35), "table")
         .when(few_common & (F.col("entry_ratio") >= 0.35), "list")
         .when(odd, "junk")

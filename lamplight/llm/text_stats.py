@@ -37,6 +37,8 @@ _CLASS = _classes()
 _BLANK = np.isin(np.arange(256), [9, 11, 12, 13, 32])
 _BREAK = np.arange(256) == 10
 _END = np.isin(np.arange(256), list(b".!?:;"))
+_STOP = np.isin(np.arange(256), list(b".!?"))
+_UPPER = (np.arange(256) >= 65) & (np.arange(256) < 91)
 _ALNUM = _CLASS <= 26
 _LETTER = (_CLASS <= 25) | (_CLASS == 31)
 _SYMBOL = _CLASS == 30
@@ -145,7 +147,10 @@ def statistics(texts: list[str | None], model: np.ndarray, w: Words | None = Non
     cell = ~form & (leader < 3) & (((figures * 2 >= tokens) & (tokens >= 3)) | ((cells >= 3) & (pieces <= 3 * cells)) | ((tabs >= 1) & (pieces <= 4 * cells)))
     h = data[head]
     marked = _SYMBOL[h] | (h == ord("-")) | (h == ord("(")) | ((h >= 48) & (h < 58)) | ((h >= 65) & (h < 91)) | (h >= 128)
-    entry = ~form & ~cell & (((tokens <= 9) & marked) | (leader >= 3))
+    # A line that ends a sentence is an entry only with an initial in it, as in references.
+    ended = _STOP[data[tail]]
+    initial = between(_UPPER[data] & np.concatenate([data[1:] == ord("."), [False]]) & np.concatenate([[False], blank[:-1]]))
+    entry = ~form & ~cell & (((tokens <= 9) & marked & (size <= 20 * tokens) & (~ended | (initial > 0))) | (leader >= 3))
     weight = size.astype(float)
     whole = np.maximum(np.bincount(text_of, weight, len(texts)), 1)
     for name, flag in (("entry_ratio", entry), ("cell_ratio", cell), ("form_ratio", form)):
