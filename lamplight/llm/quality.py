@@ -15,6 +15,8 @@ from lamplight.llm.words import batches
 from lamplight.session import materialize
 
 MEASURES = [f for f in FIELDS if f not in ("lang", "chars")]
+#: Least spreads, so that a corpus of one kind doesn't make small differences look odd; 0.005 for other measures.
+LEAST_SPREAD = {"sequence_score": 0.06, "common_ratio": 0.03}
 STATS = ", ".join(f"{f} double" for f in FIELDS if f != "lang") + ", lang string"
 
 
@@ -59,11 +61,11 @@ def text_statistics(df: DataFrame, id_col: str, text_col: str, model: np.ndarray
 def profile(stats: DataFrame, k: int = 400) -> DataFrame:
     """By language: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
 
-    The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, at least 0.005. Texts without a word are left out.
+    The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread. Texts without a word are left out.
     """
     sketches = stats.where("words > 0").groupBy("lang").agg(F.count("*").alias("documents"), *(F.kll_sketch_agg_double(m, k).alias(m) for m in MEASURES))
     q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
-    return sketches.select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(0.005)).alias(f"{m}_spread") for m in MEASURES))
+    return sketches.select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
 
 
 def scored(stats: DataFrame, k: int = 400) -> DataFrame:
@@ -84,7 +86,7 @@ def kind_of(tail: float = 3.5) -> Column:
     low_common = F.col("z_common_ratio") < -tail / 2
     odd = (F.col("z_sequence_score") < -2 * tail) & few_common
     strange = low_common & (((F.col("z_symbol_ratio") > tail) & (F.col("symbol_ratio") > 0.4)) | ((F.col("z_foreign_ratio") > tail) & (F.col("foreign_ratio") > 0.3)))
-    junk = strange | (low_common & (F.col("z_sequence_score") < -4 * tail)) | (odd & (F.col("cell_ratio") < 0.5) & (F.col("entry_ratio") < 0.5))
+    junk = strange | (low_common & (F.col("z_sequence_score") < -5 * tail) & (F.col("cell_ratio") < 0.5)) | (odd & (F.col("cell_ratio") < 0.5) & (F.col("entry_ratio") < 0.5))
     return (
         F.when(F.col("chars") == 0, F.lit(None))
         .when((F.col("form_ratio") >= 0.5) | junk, "junk")

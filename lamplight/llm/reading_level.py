@@ -149,8 +149,10 @@ class ReadingModel:
 
     def __init__(self, texts: list[str], bands: list[str], penalty: float = 1e-3):
         label = np.array([BANDS.index(b) for b in bands], np.int64)
-        half = np.arange(len(texts)) % 2
-        z = None
+        half = np.zeros(len(texts), np.int64)  # alternating within each band
+        for b in range(len(BANDS)):
+            at = np.flatnonzero(label == b)
+            half[at] = np.arange(len(at)) % 2
         parts = []
         for side in (0, 1):
             train = [t for t, h in zip(texts, half, strict=True) if h == side]
@@ -162,7 +164,7 @@ class ReadingModel:
             x[at] = document_features(parts[side], [texts[i] for i in at])
         self.model = SentenceModel(len(BANDS))
         self.model.word, self.model.char, self.model.dense = ((a + b) / 2 for a, b in zip(*((m.word, m.char, m.dense) for m in parts), strict=True))
-        self.center, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+        self.center, self.scale = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
         self.center[-1], self.scale[-1] = 0, 1
         x = (x - self.center) / self.scale
         share = 1 / np.maximum(np.bincount(label, minlength=len(BANDS)), 1)[label]
