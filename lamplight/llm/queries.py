@@ -91,7 +91,20 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
+def _near_sql(rows: str, units: str, least: int) -> str:
+    """Pairs of rows(key, text) whose distinct sequences of three units (SQL list of t) have a Jaccard similarity of 0.5 or more."""
+    return f"""
+        SELECT a AS key_a, b AS key_b FROM (
+            SELECT x.key AS a, y.key AS b, x.n AS n, y.n AS m, count(*) AS c
+            FROM (SELECT key, g, count(*) OVER (PARTITION BY key) AS n FROM (SELECT DISTINCT key, array_to_string(w[i:i + 2], chr(31)) AS g FROM (SELECT key, w, unnest(generate_series(1, len(w) - 2)) AS i FROM (SELECT key, {units} AS w FROM {rows}) WHERE len(w) >= {least}))) x
+            JOIN (SELECT key, g, count(*) OVER (PARTITION BY key) AS n FROM (SELECT DISTINCT key, array_to_string(w[i:i + 2], chr(31)) AS g FROM (SELECT key, w, unnest(generate_series(1, len(w) - 2)) AS i FROM (SELECT key, {units} AS w FROM {rows}) WHERE len(w) >= {least}))) y
+            ON x.g = y.g AND x.key < y.key GROUP BY ALL) WHERE c >= 0.5 * (n + m - c)"""
+
+
+_TEXTS = "(SELECT row_id AS key, lower(text) AS t FROM research WHERE text IS NOT NULL)"
+_STEMS = "(SELECT DISTINCT stem AS key, lower(stem) AS t FROM research WHERE catalog_id IS NULL AND stem IS NOT NULL)"
 ORACLES: dict[str, str] = {
+    "p1_found": "SELECT 'text' AS field, key_a, key_b FROM (" + _near_sql(_TEXTS, "regexp_extract_all(t, '[a-z0-9]+')", 20) + ") UNION ALL SELECT 'stem', key_a, key_b FROM (" + _near_sql(_STEMS, "string_split(t, '')", 3) + ")",
     "p7_found": """
         WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM documents WHERE text IS NOT NULL),
         c AS (SELECT case_id, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (SELECT case_id, query AS t FROM eval_cases UNION ALL SELECT case_id, passage FROM eval_cases) WHERE t IS NOT NULL),
