@@ -142,13 +142,21 @@ class NearDuplicates:
         common = F.size(F.array_intersect("ga", "gb"))
         return both.select("a", "b", (common / (F.col("na") + F.col("nb") - common)).alias("similarity")).where(F.col("similarity") >= self.threshold)
 
-    def record_pairs(self) -> DataFrame:
-        """(key_a, key_b): every two records that are near duplicates, members of one class included; key_a < key_b."""
-        members = self.classes.select("id", "cls").distinct()
-        across = self.class_pairs().select("a", "b").join(members.select(F.col("cls").alias("a"), F.col("id").alias("x")), "a").join(members.select(F.col("cls").alias("b"), F.col("id").alias("y")), "b")
-        several = members.join(members.groupBy("cls").count().where("count > 1").select("cls"), "cls", "left_semi")
+    def record_pairs(self, expand: int = 200) -> DataFrame:
+        """(key_a, key_b): every two records that are near duplicates, members of one class included; key_a < key_b.
+
+        A class of more than `expand` copies isn't multiplied out: each copy is paired with the class's least id, and that one with the
+        records of near classes, so no link between different texts is lost and a hot group of n copies gives n pairs.
+        """
+        sizes = self.classes.groupBy("cls").agg(F.countDistinct("id").alias("n"), F.min("id").alias("least"))
+        members = self.classes.select("id", "cls").distinct().join(sizes.where("n > 1"), "cls", "left").withColumn("hot", F.coalesce(F.col("n") > expand, F.lit(False)))
+        shown = members.where(~F.col("hot") | (F.col("id") == F.col("least"))).select("id", "cls", "hot", F.coalesce("n", F.lit(1)).alias("n"))
+        across = self.class_pairs().select("a", "b").join(shown.select(F.col("cls").alias("a"), F.col("id").alias("x")), "a").join(shown.select(F.col("cls").alias("b"), F.col("id").alias("y")), "b")
+        several = shown.where("n > 1 and not hot")
         within = several.select("cls", F.col("id").alias("x")).join(several.select("cls", F.col("id").alias("y")), "cls").where("x < y")
-        return across.select("x", "y").unionByName(within.select("x", "y")).select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
+        star = members.where("hot and id <> least").select(F.col("least").alias("x"), F.col("id").alias("y"))
+        every = across.select("x", "y").unionByName(within.select("x", "y")).unionByName(star)
+        return every.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
 
 
 def near_duplicate_records(df: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:

@@ -90,6 +90,13 @@ def test_hot_group_of_copies_is_one_class(spark):
     assert got.select("class_id").distinct().count() == 2
 
 
+def test_hot_copies_are_a_star(spark):
+    text = " ".join(f"y{i}" for i in range(40))
+    df = spark.createDataFrame([(i, text) for i in range(300)] + [(900, text + " more"), (901, text + " more")], "id int, text string")
+    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs().collect()}
+    assert got == {(0, i) for i in range(1, 300)} | {(0, 900), (0, 901), (900, 901)}
+
+
 def test_hot_bucket_in_blocks(spark):
     from lamplight.llm.lsh import candidate_pairs
 
