@@ -44,12 +44,22 @@ def dense_top(index: DataFrame, key: str, vector: str, query: list[float], n: in
     return hits.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("similarity"), key)) - 1)
 
 
-def dense_batch(index: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, n: int) -> DataFrame:
-    """(query_key, key, similarity, rank): the n nearest rows of every query of a set that fits a broadcast; the rank limit is applied before the shuffle."""
-    q = queries.select(F.col(query_key).alias("_qk"), F.col(vector).alias("_qv"))
-    pairs = index.select(key, vector).join(F.broadcast(q), F.col("_qk") != F.col(key)).select(F.col("_qk").alias(query_key), key, F.round(cosine(F.col(vector), F.col("_qv")), 6).alias("similarity"))
-    ranked = pairs.where("similarity is not null").withColumn("rank", F.row_number().over(Window.partitionBy(query_key).orderBy(F.desc("similarity"), key)))
-    return ranked.where(F.col("rank") <= n)
+def dense_batch(index: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, n: int, block: int = 2000) -> DataFrame:
+    """(query_key, key, similarity, rank): the n nearest rows of every query, exactly; a query doesn't find the row of its own key.
+
+    The queries go through the index in blocks of about `block`, each broadcast, so what's broadcast doesn't grow with their number; of
+    each block and partition at most n rows a query are shuffled.
+    """
+    q = queries.select(F.col(query_key).alias("_qk"), F.col(vector).alias("_qv")).where("_qk is not null and _qv is not null")
+    blocks = max(1, -(-q.count() // block))
+    best = F.row_number().over(Window.partitionBy(query_key).orderBy(F.desc("similarity"), key))
+    out = None
+    for i in range(blocks):
+        part = q.where(F.pmod(F.xxhash64("_qk"), F.lit(blocks)) == i) if blocks > 1 else q
+        pairs = index.select(key, vector).join(F.broadcast(part), F.col("_qk") != F.col(key)).select(F.col("_qk").alias(query_key), key, F.round(cosine(F.col(vector), F.col("_qv")), 6).alias("similarity"))
+        ranked = pairs.where("similarity is not null").withColumn("rank", best).where(F.col("rank") <= n)
+        out = ranked if out is None else out.unionByName(ranked)
+    return out
 
 
 # --- full text --------------------------------------------------------------

@@ -93,16 +93,13 @@ def b_tier_rollup(spark, d):
     return _manifest(spark, d).select(files.tier(F.col("pages")).alias("tier"), "pages").groupBy("tier").agg(F.count("*").alias("n"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"))
 
 
-@query(f"""
-    SELECT path, pages, (row_number() OVER (ORDER BY pages, path))::INT AS place FROM ({_LATEST}) WHERE status = 'done' AND pages >= 1
-    AND stem NOT IN (SELECT stem FROM metadata WHERE stem IS NOT NULL) ORDER BY pages, path LIMIT 50""")
+@query(f"SELECT path, pages, (row_number() OVER (ORDER BY pages, path))::INT AS place FROM ({_LATEST}) WHERE status = 'pending' ORDER BY pages, path LIMIT 50")
 def b_pending_order(spark, d):
-    """Work order: files without metadata, smallest first; the head of it."""
+    """The next 50 files to be worked on: pending ones, smallest first. Failed ones aren't tried again."""
     from pyspark.sql import Window
 
-    waiting = _manifest(spark, d).where("status = 'done' and pages >= 1").join(table(spark, d, "metadata").select("stem").distinct(), "stem", "left_anti")
-    head = waiting.orderBy("pages", "path").limit(50)
-    return head.select("path", "pages", F.row_number().over(Window.orderBy("pages", "path")).alias("place"))
+    head = _manifest(spark, d).where("status = 'pending'").orderBy(F.col("pages").asc_nulls_last(), "path").limit(50)
+    return head.select("path", "pages", F.row_number().over(Window.orderBy(F.col("pages").asc_nulls_last(), "path")).alias("place"))
 
 
 @query("SELECT DISTINCT stem FROM research WHERE stem IS NOT NULL AND stem NOT IN (SELECT stem FROM files WHERE stem IS NOT NULL)")

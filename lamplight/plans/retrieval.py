@@ -150,7 +150,7 @@ def _ranks(spark: SparkSession, d: str) -> DataFrame:
     asked = e.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
     near = R.dense_batch(e, "vec_id", "embedding", asked, "query_id", 10)
     cases = labels.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("label").alias("wanted"))
-    hits = near.join(F.broadcast(cases), "query_id").join(labels, "vec_id").where("label = wanted").groupBy("query_id").agg(F.min("rank").alias("rank"))
+    hits = near.join(cases, "query_id").join(labels, "vec_id").where("label = wanted").groupBy("query_id").agg(F.min("rank").alias("rank"))
     return cases.join(hits, "query_id", "left").select(F.col("query_id").alias("vec_id"), F.col("wanted").alias("label"), "rank")
 
 

@@ -34,6 +34,14 @@ def test_cosine_of_odd_vectors(spark):
     assert [(r.id, r.similarity) for r in R.dense_top(df, "id", "v", [1.0, 0.0], 5).collect()] == [(1, 1.0), (6, 1.0)]
 
 
+def test_batches_in_blocks(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(20)] + [(99, None)], "id int, v array<float>")
+    asked = df.withColumnRenamed("id", "q")
+    whole = {tuple(r) for r in R.dense_batch(df, "id", "v", asked, "q", 3).collect()}
+    assert whole == {tuple(r) for r in R.dense_batch(df, "id", "v", asked, "q", 3, block=4).collect()}
+    assert len(whole) == 60
+
+
 def test_fusion_ties_and_fallback(spark):
     dense = spark.createDataFrame([("a", 0), ("b", 1)], "k string, pos int")
     lexical = spark.createDataFrame([("c", 0), ("b", 1)], "k string, pos int")
