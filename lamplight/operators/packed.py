@@ -14,15 +14,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lamplight.session import materialize
+from lamplight.session import broadcast_if_small, materialize
 
 #: Cells that mean "no value", lower case.
 PLACEHOLDERS = ["", "none", "n/a", "na", "null", "not stated", "unknown", "[]", "-"]
 #: Nouns that mark a body; those that can open its name come first.
 OPENING = "Association Bureau Center Centre College Commission Committee Department Faculty Federation Foundation Friends Institute Laboratory Ministry Museum National Office School Society Union University".split()
 CLOSING = "Agency Authority Bank Board Club Company Cooperative Corporation Council Division Group Library Network Press Program Project Reserve Service Station Studies".split()
-#: Rules up to this many bytes on disk are broadcast; beyond it they're joined by shuffle.
-BROADCAST_BYTES = 32 << 20
 
 _WORD = r"\p{L}[\p{L}\p{M}\p{N}]*(?:['\u2019-][\p{L}\p{M}\p{N}]+)*"
 UNITS = rf"(?s)\bJr\b\.?|\bSr\b\.?|\b\p{{Lu}}\.|{_WORD}|\p{{N}}+(?:[.,]\p{{N}}+)*|(?U:\s+)|."
@@ -202,16 +200,12 @@ def _resolve_all(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"kind": df["kind"], "skeleton": df["skeleton"], "spans": spans})
 
 
-def _rules_size(rules: DataFrame) -> int:
-    return int(str(rules._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def split_packed(df: DataFrame, id_col: str, fields: dict[str, str], name: str = "packed") -> DataFrame:
     """(id, field, pos, item): one row a value of each cell of the columns in `fields` (column -> 'names' or 'terms'), pos from 1.
 
     Null, blank and placeholder cells have no rows, empty values take no position. Items lose enclosing quotes, brackets, bullets and
     item numbers; doubled quotes become single ones and runs of white space one blank. Repeated rows give their items each;
-    an empty table gives none. Rules of up to BROADCAST_BYTES are broadcast, larger ones joined by shuffle.
+    an empty table gives none. Rules are broadcast while their size allows it, else joined by shuffle.
     """
     # Extra columns never matter, as only these are read.
     cells = df.select(F.col(id_col).alias("id"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.lit(k).alias("kind"), F.col(f).cast("string").alias("cell")) for f, k in fields.items()))).alias("c")).select("id", "c.*")
@@ -220,9 +214,7 @@ def split_packed(df: DataFrame, id_col: str, fields: dict[str, str], name: str =
     cells = cells.withColumn("units", F.regexp_extract_all("cell", F.lit(UNITS), F.lit(0)))
     cells = cells.withColumn("skeleton", F.array_join(F.transform("units", _shape), ""))
     rules = materialize(cells.select("kind", "skeleton").distinct().mapInPandas(_resolve_all, "kind string, skeleton string, spans array<struct<s: int, n: int>>"), f"{name}-rules")
-    if _rules_size(rules) <= BROADCAST_BYTES:
-        rules = F.broadcast(rules)
-    parts = cells.join(rules, ["kind", "skeleton"]).select("id", "field", "units", F.posexplode("spans").alias("at", "span"))
+    parts = cells.join(broadcast_if_small(rules), ["kind", "skeleton"]).select("id", "field", "units", F.posexplode("spans").alias("at", "span"))
     text = F.array_join(F.slice("units", F.col("span.s") + 1, F.col("span.n")), "")
     item = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r'\\"', '"'), '""', '"'), r"(?U)\s+", " "))
     return parts.select("id", "field", (F.col("at") + 1).cast("int").alias("pos"), item.alias("item"))

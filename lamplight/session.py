@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -51,6 +52,16 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
+#: A join side is broadcast by broadcast_if_small() up to this size.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df marked for broadcast if its estimated size, an upper bound when it comes from written tables, is at most `most` bytes; else df as it is."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if size <= most else df
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read back: lineage ends here, and a lost executor costs no recomputation."""
     path = f"{shared_folder(df.sparkSession)}/lamplight-{name}-{uuid.uuid4().hex}"
