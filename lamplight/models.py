@@ -38,7 +38,6 @@ def hashing_encoder(dim: int = 64) -> Encoder:
 
 def embed(df: DataFrame, text_col: str, encoder: Encoder, batch: int = 64, out: str = "vector") -> DataFrame:
     """df with a vector of each text: whole Arrow batches go to the encoder, which is loaded once a worker; null texts get null."""
-    schema = df.drop(out).schema.simpleString()[len("struct<") : -1]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.drop(out).schema)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,7 +49,6 @@ def embed(df: DataFrame, text_col: str, encoder: Encoder, batch: int = 64, out:
             part[out] = [v if isinstance(t, str) else None for v, t in zip(vectors, texts, strict=True)]
             yield part
 
-    assert schema or not fields
     return df.drop(out).mapInPandas(run, f"{fields}, `{out}` array<float>")
 
 

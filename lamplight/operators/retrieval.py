@@ -164,6 +164,3 @@ def rank_metrics(ranks: DataFrame, by: list[str], rank: str = "rank", k: int = 5
     """hit_1, hit_k and mrr of ranks from 1, null for none, to six places."""
     hit = lambda n: F.round(F.avg(F.when(F.col(rank) <= n, 1.0).otherwise(0.0)), 6)
     return ranks.groupBy(*by).agg(F.count("*").alias("cases"), hit(1).alias("hit_1"), hit(k).alias("hit_k"), F.round(F.avg(F.coalesce(1 / F.col(rank), F.lit(0.0))), 6).alias("mrr"))
-
-
-__all__ = ["answer", "bm25_top", "context", "cosine", "dense_batch", "dense_top", "fuse", "passages", "postings", "query_terms", "rank_metrics", "render", "rerank", "search"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lamplight.functions import text as T
 from lamplight.operators.chunking import char_windows
 from lamplight.operators.files import latest
-from lamplight.operators.tables import replace_by_key
 
 MOST_ATTEMPTS = 5
 
@@ -104,6 +103,3 @@ def reconcile(view: DataFrame, index: DataFrame) -> DataFrame:
     missing = published.join(indexed, "catalog_id", "left_anti").withColumn("action", F.lit("upsert"))
     stale = indexed.join(published, "catalog_id", "left_anti").withColumn("action", F.lit("delete"))
     return missing.unionByName(stale)
-
-
-__all__ = ["acknowledge", "apply_batch", "catalog_chunks", "claim", "gate", "latest_actions", "metadata_blob", "public_path", "queue_stats", "reconcile", "replace_by_key", "with_latest_media"]
