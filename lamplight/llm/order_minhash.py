@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lamplight.llm.lsh import candidate_pairs
 from lamplight.llm.words import batches, characters, distinct, grams, mix, occurrence_labelled, owner, segment_min, sequence_hash, words
-from lamplight.session import materialize
+from lamplight.session import broadcast_if_small, materialize
 
 _MAX = np.uint64(2**64 - 1)
 _POS = np.uint64((1 << 20) - 1)
@@ -136,7 +136,7 @@ class NearDuplicates:
         right = one.select(F.col("cls").alias("b"), F.col("id").alias("ib"), *(F.col(f"s{c}").alias(f"b{c}") for c in range(4)))
         near = materialize(pairs.join(left, "a").join(right, "b").where(_may_reach(self.threshold)).select("a", "b", "ia", "ib"), f"{self.name}-near")
         wanted = near.select(F.col("ia").alias("id")).unionByName(near.select(F.col("ib").alias("id"))).distinct()
-        texts = self.rows.join(wanted, "id", "left_semi")
+        texts = self.rows.join(broadcast_if_small(wanted), "id", "left_semi")
         shingles = materialize(texts.mapInArrow(partial(_map, "grams", *self._args), "cls long, grams array<long>, n long").dropDuplicates(["cls"]), f"{self.name}-grams")
         both = near.join(shingles.select(F.col("cls").alias("a"), F.col("grams").alias("ga"), F.col("n").alias("na")), "a").join(shingles.select(F.col("cls").alias("b"), F.col("grams").alias("gb"), F.col("n").alias("nb")), "b")
         common = F.size(F.array_intersect("ga", "gb"))
