@@ -4,6 +4,9 @@ The CGK random walk (Chakraborty, Goldenberg, Koucky 2016) reads a window of wor
 word it stands on and moves on or stays, as a random bit of (step, word) says. Windows at small edit distance are soon in step
 again, so their walks agree in most places. Each repetition hashes a few sampled places of a walk of its own into one key;
 equal windows agree on every key of every repetition.
+
+Without repetitions the candidates come from pieces instead: of edits + 1 pieces of an item's window, one at least stands unchanged
+in every window within that many edits, so none is missed.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamplight.llm.words import batches, mix, owner, words
+from lamplight.llm.words import batches, grams, mix, owner, words
 
 _PAD = np.uint64(0x5851F42D4C957F2D)
 #: Item windows that one scan of the corpus carries along (a key of eight bytes a repetition, and the words); more take more scans.
@@ -62,10 +65,27 @@ def edit_distances(x: np.ndarray, y: np.ndarray, most: int) -> np.ndarray:
     return before[:, m]
 
 
+def _may_match(x: np.ndarray, y: np.ndarray, here: np.ndarray, there: np.ndarray, window: int, edits: int) -> np.ndarray:
+    """Which windows (from word `here` of x and `there` of y) may be within `edits`: all others surely aren't.
+
+    In two windows of one length, a word that stays is moved by edits // 2 places at most; at most `edits` words don't stay.
+    """
+    left, missing = np.arange(len(here)), np.zeros(len(here), np.int64)
+    for i in range(window):
+        word, begin = x[here[left] + i], there[left]
+        same = np.zeros(len(left), bool)
+        for j in range(max(0, i - edits // 2), min(window, i + edits // 2 + 1)):
+            same |= word == y[begin + j]
+        missing = missing + ~same
+        ok = missing <= edits
+        left, missing = left[ok], missing[ok]
+    return left
+
+
 class _Items:
     """The windows of a block of test items, in the form a scan needs."""
 
-    def __init__(self, ids: list[int], texts: list[str], window: int, sample: int, repeats: int):
+    def __init__(self, ids: list[int], texts: list[str], window: int, sample: int, repeats: int, edits: int):
         w = words(texts)
         runs = np.maximum(np.diff(w.first) - window + 1, 0)
         self.at = np.arange(runs.sum()) + np.repeat(w.first[:-1] - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs)
@@ -75,10 +95,46 @@ class _Items:
             keys = walk_keys(w.hash, self.at, window, sample, r)
             order = np.argsort(keys, kind="stable")
             self.keys.append((keys[order], order))
+        if not repeats:
+            # The distinct pieces, and by piece the (window, piece's place in it) that have it.
+            self.length = window // (edits + 1)
+            pieces, first = grams(w.hash, w.first, self.length)
+            begin = np.arange(len(pieces)) + np.repeat(w.first[:-1] - first[:-1], np.diff(first))
+            at = np.concatenate([np.searchsorted(begin, self.at + k * self.length) for k in range(edits + 1)])
+            order = np.argsort(pieces[at], kind="stable")
+            self.pieces = pieces[at][order]
+            self.whose = np.tile(np.arange(len(self.at)), edits + 1)[order]
+            self.place = np.repeat(np.arange(edits + 1) * self.length, len(self.at))[order]
         self.known = np.zeros(1 << _BITMAP, bool)
         self.known[(w.hash >> np.uint64(64 - _BITMAP)).astype(np.int64)] = True
 
 
+def _sharing_pieces(items: _Items, h: np.ndarray, first: np.ndarray, at: np.ndarray, window: int, edits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word at which a window of h begins, window of the items) of all pairs within `edits`, and of some others, a piece of the texts at a time."""
+    pieces, runs = grams(h, first, items.length)
+    begin = np.arange(len(pieces)) + np.repeat(first[:-1] - runs[:-1], np.diff(runs))
+    wanted = np.zeros(len(h), bool)
+    wanted[at] = True
+    low, high = np.searchsorted(items.pieces, pieces), np.searchsorted(items.pieces, pieces, "right")
+    hit = np.flatnonzero(high > low)
+    low, n, begin = low[hit], (high - low)[hit], begin[hit]
+    total = np.concatenate([[0], np.cumsum(n)])
+    lo = 0
+    while lo < len(hit):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + 200_000, "right")) - 1)
+        m = n[lo:hi]
+        entry = np.arange(m.sum()) + np.repeat(low[lo:hi] - (total[lo:hi] - total[lo]), m)
+        x, y, place = np.repeat(begin[lo:hi], m), items.whose[entry], items.place[entry]
+        for shift in range(-(edits // 2), edits // 2 + 1):
+            start = x - place - shift
+            ok = (place + shift >= 0) & (place + shift <= window - items.length) & (start >= 0)
+            ok[ok] = wanted[start[ok]]
+            here, there = start[ok], y[ok]
+            near = _may_match(h, items.hash, here, items.at[there], window, edits)
+            yield here[near], there[near]
+        lo = hi
+
+
 def _scan(items: _Items, window: int, sample: int, edits: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     inner = np.arange(window)
     for batch in it:
@@ -94,7 +150,7 @@ def _scan(items: _Items, window: int, sample: int, edits: int, it: Iterator[pa.R
             at = at[own[at] == own[at + window - 1]]
             if not len(at):
                 continue
-            found = []
+            found = [] if items.keys else [np.stack(pair) for pair in _sharing_pieces(items, w.hash, w.first, at, window, edits)]
             for r, (keys, order) in enumerate(items.keys):
                 own_keys = walk_keys(w.hash, at, window, sample, r)
                 low, high = np.searchsorted(keys, own_keys), np.searchsorted(keys, own_keys, "right")
@@ -130,7 +186,8 @@ def find_leaks(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame,
 
     A document holds one if some `window` consecutive words of its text are within `edits` word edits of `window` consecutive
     words of one of the item's columns. edits is the least distance seen, windows counts matching pairs of windows. With
-    edits = 0 a single repetition finds every case, since equal windows have equal keys; otherwise recall grows with `repeats`.
+    edits = 0 a single repetition finds every case, since equal windows have equal keys; otherwise recall grows with `repeats`, and
+    with repeats = 0 every case is found, by pieces. A word inserted into a window or dropped from it costs 2 edits, as its end shifts too.
 
     The corpus is scanned once for each ITEM_WINDOWS windows of the test items; it's neither shuffled nor collected, only the
     hits are. Null texts, and texts or items of fewer words than a window, match nothing; empty tables give no rows. Repeated
@@ -143,7 +200,7 @@ def find_leaks(corpus: DataFrame, id_col: str, text_col: str, items: DataFrame,
     def close() -> None:
         nonlocal block, size
         if block:
-            carried = _Items([c for c, _ in block], [t for _, t in block], window, sample, repeats)
+            carried = _Items([c for c, _ in block], [t for _, t in block], window, sample, repeats, edits)
             parts.append(scanned.mapInArrow(partial(_scan, carried, window, sample, edits), f"id {kind}, case_id long, edits long, windows long"))
         block, size = [], 0
 

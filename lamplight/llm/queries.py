@@ -76,9 +76,9 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_edited(spark: SparkSession, d: str) -> DataFrame:
-    """Leaks with up to one word edit in twelve."""
+    """Leaks with up to two word edits between windows of twelve words: one or two words replaced, or one inserted or dropped."""
     cases = table(spark, d, "eval_cases")
-    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"], edits=1, repeats=6, sample=8).withColumnRenamed("id", "doc_id")
+    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=0).withColumnRenamed("id", "doc_id")
 
 
 def p8_levels(spark: SparkSession, d: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 from lamplight.llm import leakage
 from lamplight.llm.leakage import edit_distances, find_leaks
+from lamplight.llm.queries import QUERIES
 
 import numpy as np
 
@@ -48,6 +49,55 @@ def test_edited_passages(spark):
     assert all(0 < r.edits <= 2 for r in found.collect() if (r.id, r.case_id) in planted)
 
 
+def _one_edit(rng, lexicon, words, kind):
+    """Twelve of the words, or so many that twelve stay, with one edit inside."""
+    n = 14 if kind == "drop" else 12
+    at = rng.randrange(len(words) - n + 1)
+    piece, place = words[at : at + n], rng.randrange(2, n - 2)
+    return piece[:place] + (["zz"] if kind != "drop" else []) + piece[place + (kind != "insert") :]
+
+
+def test_production_finds_every_edited_passage(spark, tmp_path):
+    rng = random.Random(11)
+    lexicon = [f"w{i}" for i in range(300)]
+    items = [(c, " ".join(rng.choice(lexicon) for _ in range(20)), " ".join(rng.choice(lexicon) for _ in range(40))) for c in range(20)]
+    docs, planted = [], {}
+    for i in range(240):
+        kind = ("replace", "insert", "drop")[i % 3]
+        c, q, p = rng.choice(items)
+        t = [rng.choice(lexicon) for _ in range(80)]
+        t[20:20] = _one_edit(rng, lexicon, rng.choice([q, p]).split(), kind)
+        docs.append((i, " ".join(t)))
+        planted[i, c] = kind
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "case_id long, query string, passage string").write.parquet(f"{tmp_path}/eval_cases.parquet")
+    rows = QUERIES["p7_edited"](spark, str(tmp_path)).collect()
+    got = {(r.doc_id, r.case_id) for r in rows}
+    assert {k for k in planted if k not in got} == set()
+    assert all(0 < r.edits <= 2 for r in rows)
+
+
+def test_pieces_equal_brute_force(spark):
+    df, cases, docs, items, _ = corpus(spark, 2, n=60)
+    got = {(r.id, r.case_id): (r.edits, r.windows) for r in find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=0).collect()}
+    code = {}
+    windows = lambda t: [[code.setdefault(x, len(code)) for x in w] for w in _windows(t)]
+    want = {}
+    held = [(c, np.array(windows(q) + windows(p)).reshape(-1, 12)) for c, q, p in items]
+    for i, t in docs:
+        here = np.array(windows(t))
+        for c, there in held:
+            d = edit_distances(np.repeat(here, len(there), axis=0), np.tile(there, (len(here), 1)), 2)
+            if (d <= 2).any():
+                want[i, c] = (int(d.min()), int((d <= 2).sum()))
+    assert want and got == want
+
+
+def _windows(t):
+    w = re.findall("[a-z0-9]+", (t or "").lower())
+    return [w[j : j + 12] for j in range(len(w) - 11)]
+
+
 def test_edit_distance():
     x, y = np.array([[1, 2, 3, 4], [1, 2, 3, 4], [1, 2, 3, 4]]), np.array([[1, 2, 3, 4], [2, 3, 4, 5], [9, 9, 9, 9]])
     assert edit_distances(x, y, 2).tolist() == [0, 2, 3]
