@@ -60,7 +60,7 @@ def _pack(u: np.ndarray) -> np.ndarray:
 def _unpack(q: np.ndarray) -> np.ndarray:
     """Approximate unit vectors of packed ones."""
     level = (q[:, :, None] >> (np.uint64(4) * np.arange(16, dtype=np.uint64))) & np.uint64(15)
-    x = level.reshape(len(q), -1).astype(np.float32) - 7.5
+    x = level.reshape(len(q), 16 * q.shape[1]).astype(np.float32) - 7.5
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -99,81 +99,128 @@ def _rows(what: str, dim: int, m: int, width: float, tables: int, probes: int, i
             cls, once = np.unique(cls, return_index=True)
             u = u[once]
             q = _pack(u)
-            sweep = np.round(u @ np.random.default_rng(5).normal(size=dim) * 1e4).astype(np.int32)
             for key, probed in _hashes(u, m, width, tables, probes):
-                yield pa.RecordBatch.from_arrays([signed(key), pa.array(sweep), signed(cls | np.uint64(probed)), *(signed(q[:, c]) for c in range(q.shape[1]))], ["key", "sweep", "id", *(f"q{c}" for c in range(q.shape[1]))])
+                yield pa.RecordBatch.from_arrays([signed(key), signed(cls | np.uint64(probed)), *(signed(q[:, c]) for c in range(q.shape[1]))], ["key", "id", *(f"q{c}" for c in range(q.shape[1]))])
 
 
-def _near_in_buckets(least: float, window: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key, sweep. The pairs a < b of ids in one bucket, at most `window` places apart, that may reach `least`."""
-    limit = least - _SLACK
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+BLOCKS = pa.schema([*PAIRS, ("task", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("xs", "xq", "ys", "yq"))])
+
+
+def _emit(a: np.ndarray, b: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Pairs of ids whose last bit says that the bucket is a probed one; of two probed ones, and of an id with itself, there's none."""
+    keep = (a >> np.uint64(1) != b >> np.uint64(1)) & ((a & b & np.uint64(1)) == 0)
+    a, b = a[keep] & ~np.uint64(1), b[keep] & ~np.uint64(1)
+    if len(a):
+        a, b = a.view(np.int64), b.view(np.int64)
+        rest = [pa.nulls(len(a), f.type) for f in list(schema)[2:]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *rest], schema=schema)
+
+
+def _near_in_blocks(limit: float, schema: pa.Schema, x: np.ndarray, vx: np.ndarray, y: np.ndarray, vy: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The pairs of x and y that may reach the limit; if y is x, each pair once."""
+    for i in range(0, len(x), 256):
+        low = i if y is x else 0
+        p, q = np.nonzero(vx[i : i + 256] @ vy[low:].T >= limit)
+        p, q = p + i, q + low
+        if y is x:
+            p, q = p[q > p], q[q > p]
+        yield from _emit(x[p], y[q], schema)
 
-    def emit(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-        keep = (a >> np.uint64(1) != b >> np.uint64(1)) & ((a & b & np.uint64(1)) == 0)
-        a, b = a[keep] & ~np.uint64(1), b[keep] & ~np.uint64(1)
-        if len(a):
-            a, b = a.view(np.int64), b.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    def pairs(key: np.ndarray, one: np.ndarray, q: np.ndarray, fresh: int) -> Iterator[pa.RecordBatch]:
-        """Pairs of which at least the later row is at `fresh` or beyond; the rows before that were compared already."""
+def _near_in_buckets(least: float, block: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key, id. The pairs a < b of ids in one bucket that may reach `least`; a bucket of more than `block` ids gives pairs of blocks."""
+    limit = least - _SLACK
+    lists = lambda x: pa.array([x.ravel().view(np.int64)], pa.list_(pa.int64()))
+
+    def pairs(key: np.ndarray, one: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(key):
+            return
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (one[1:] != one[:-1])])
+        key, one, q = key[fresh], one[fresh], q[fresh]
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
         size = np.diff(edge)
-        v = _unpack(q)
         small = np.repeat((size > 1) & (size <= 24), size)
-        ks, os, vs, at = key[small], one[small], v[small], np.flatnonzero(small)
+        ks, os, vs = key[small], one[small], _unpack(q[small])
         for gap in range(1, min(24, len(ks))):
-            i = np.flatnonzero((ks[gap:] == ks[:-gap]) & (at[gap:] >= fresh) & ((os[gap:] & os[:-gap] & np.uint64(1)) == 0))
+            i = np.flatnonzero((ks[gap:] == ks[:-gap]) & ((os[gap:] & os[:-gap] & np.uint64(1)) == 0))
             if len(i):
                 i = i[np.einsum("ij,ij->i", vs[i], vs[i + gap]) >= limit]
-                yield from emit(os[i], os[i + gap])
+                yield from _emit(os[i], os[i + gap], BLOCKS)
         for g in np.flatnonzero(size > 24):
             lo, hi = edge[g], edge[g + 1]
-            for i in range(lo, hi, 256):
-                top = min(i + 256, hi)
-                j = max(i, fresh)
-                end = min(top + window, hi)
-                if j >= end:
-                    continue
-                x, y = np.nonzero(v[i:top] @ v[j:end].T >= limit)
-                x, y = x + i, y + j
-                ok = y > x
-                yield from emit(one[x[ok]], one[y[ok]])
-
-    key = one = np.empty(0, np.uint64)
-    q = None
+            if size[g] <= block:
+                x, v = one[lo:hi], _unpack(q[lo:hi])
+                yield from _near_in_blocks(limit, BLOCKS, x, v, x, v)
+                continue
+            starts = range(lo, hi, block)
+            for n, i in enumerate(starts):
+                for m, j in enumerate(starts[n:], n):
+                    task = mix(key[lo : lo + 1] + np.uint64(n * len(starts) + m)).view(np.int64)
+                    i_end, j_end = min(i + block, hi), min(j + block, hi)
+                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array(task), lists(one[i:i_end]), lists(q[i:i_end]), lists(one[j:j_end]), lists(q[j:j_end])], schema=BLOCKS)
+
+    waiting: list[list[np.ndarray]] = []
     for batch in it:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(batch.num_columns)]
         if not len(batch):
             continue
-        new_q = np.stack(cols[3:], axis=1).view(np.uint64)
-        old = len(key)
-        key, one = np.concatenate([key, cols[0].view(np.uint64)]), np.concatenate([one, cols[2].view(np.uint64)])
-        q = new_q if q is None else np.concatenate([q, new_q])
-        yield from pairs(key, one, q, old)
-        keep = max(int(np.flatnonzero(key == key[-1])[0]), len(key) - window)
-        key, one, q = key[keep:], one[keep:], q[keep:]
+        cols = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in range(batch.num_columns)]
+        key, one, q = cols[0], cols[1], np.stack(cols[2:], axis=1)
+        # Rows sort by the signed key; the last bucket may go on in the next batch.
+        last = int(np.searchsorted(key.view(np.int64), key.view(np.int64)[-1]))
+        if waiting and waiting[-1][0][-1] != key[-1]:
+            waiting.append([key[:last], one[:last], q[:last]])
+            yield from pairs(*map(np.concatenate, zip(*waiting, strict=True)))
+            waiting = []
+            key, one, q = key[last:], one[last:], q[last:]
+        elif not waiting:
+            yield from pairs(key[:last], one[:last], q[:last])
+            key, one, q = key[last:], one[last:], q[last:]
+        waiting.append([key, one, q])
+    if waiting:
+        yield from pairs(*map(np.concatenate, zip(*waiting, strict=True)))
+
+
+def _near_in_pairs_of_blocks(least: float, words: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs that may reach `least` of each row's two blocks (xs, xq, ys, yq)."""
+    for batch in it:
+        for r in range(len(batch)):
+            xs, xq, ys, yq = (batch.column(c)[r].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in range(4))
+            vx = _unpack(xq.reshape(-1, words))
+            if np.array_equal(xs, ys):
+                yield from _near_in_blocks(least - _SLACK, PAIRS, xs, vx, xs, vx)
+            else:
+                yield from _near_in_blocks(least - _SLACK, PAIRS, xs, vx, ys, _unpack(yq.reshape(-1, words)))
 
 
-def similar_vectors(df: DataFrame, id_col: str, vector_col: str, *, dim: int, k: int = 10, least: float = 0.85, m: int = 12, width: float = 2.2, tables: int = 6, probes: int = 4, window: int = 4096, name: str = "knn") -> DataFrame:
+def similar_vectors(df: DataFrame, id_col: str, vector_col: str, *, dim: int, k: int = 10, least: float = 0.85, m: int = 12, width: float = 2.2, tables: int = 6, probes: int = 4, block: int = 4096, name: str = "knn") -> DataFrame:
     """(id, other, similarity, place): for each record its k most similar others of cosine `least` or more, places from 1.
 
     Ties in similarity (to six places) go by id. Vectors that are null, empty, of another length than dim, all zero or not finite
     take no part. Vectors of one direction form a class, hashed once a batch; of a class at most k + 1 members, those of least
     id, can be among anybody's k, so hot groups of copies give k rows a record and no more.
 
-    Rows are bucketed by tables * probes keys and shuffled once, at 60 bytes a row. A bucket is swept in the order of one further
-    projection, in which every vector meets the next `window` ones: buckets up to that size are compared in full, and of larger ones
-    the pairs that lie nearer in the projection; other tables give the others further chances. Recall is measured in the tests.
+    Rows are bucketed by tables * probes keys and shuffled once, at 60 bytes a row. All pairs of a bucket are compared: a bucket of more
+    than `block` vectors leaves as pairs of blocks, which are spread over all tasks, so a hot one takes time that grows with the square
+    of its size, but no pair is left out. Recall is measured in the tests.
     An empty table gives no rows; ids that repeat count once.
     """
+    spark = df.sparkSession
     kind = dict(df.dtypes)[id_col]
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v")).where("id is not null and v is not null")
     args = (dim, m, width, tables, probes)
     words = -(-dim // 16)
     classes = materialize(rows.mapInArrow(partial(_rows, "classes", *args), f"id {kind}, cls long, unit array<float>"), f"{name}-classes")
-    keys = rows.mapInArrow(partial(_rows, "keys", *args), "key long, sweep int, id long, " + ", ".join(f"q{c} long" for c in range(words)))
-    near = keys.repartition("key").sortWithinPartitions("key", "sweep").mapInArrow(partial(_near_in_buckets, least, window), "a long, b long").distinct()
+    keys = rows.mapInArrow(partial(_rows, "keys", *args), "key long, id long, " + ", ".join(f"q{c} long" for c in range(words)))
+    blocks = "a long, b long, task long, xs array<long>, xq array<long>, ys array<long>, yq array<long>"
+    found = materialize(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(partial(_near_in_buckets, least, block), blocks), f"{name}-buckets")
+    near, hot = found.where("a is not null").select("a", "b"), found.where("xs is not null")
+    count = hot.count()
+    if count:
+        # A pair of blocks takes up to 16 * (1 + words) * block bytes, so a task has a few.
+        spread = hot.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // 8)), "task").select("xs", "xq", "ys", "yq")
+        near = near.unionByName(spread.mapInArrow(partial(_near_in_pairs_of_blocks, least, words), "a long, b long"))
+    near = near.distinct()
     near = materialize(near, f"{name}-candidates")
     wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
     units = classes.join(broadcast_if_small(wanted), "cls", "left_semi").select("cls", "unit").dropDuplicates(["cls"])

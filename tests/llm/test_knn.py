@@ -1,6 +1,7 @@
 import numpy as np
+import pyarrow as pa
 
-from lamplight.llm.knn import similar_vectors
+from lamplight.llm.knn import _near_in_buckets, _near_in_pairs_of_blocks, _pack, similar_vectors
 
 NAN = float("nan")
 
@@ -43,3 +44,36 @@ def test_hot_copies_give_k_each(spark):
     got = similar_vectors(df, "id", "v", dim=64, k=3)
     assert got.count() == 6000
     assert {r.other for r in got.where("id = 1000").collect()} == {0, 1, 2}
+
+
+def skewed():
+    """A third of all vectors are one dense topic, all alike but no copies."""
+    rng = np.random.default_rng(8)
+    topic = rng.normal(size=64) / 8 + rng.normal(size=(600, 64)) * 0.045
+    vectors = np.concatenate([rng.normal(size=(1200, 64)), topic * rng.uniform(0.4, 3, size=(600, 1))]).astype(np.float32)
+    return list(range(len(vectors))), vectors
+
+
+def test_recall_on_a_dense_topic(spark):
+    ids, vectors = skewed()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "id int, v array<float>")
+    got = {(r.id, r.other) for r in similar_vectors(df, "id", "v", dim=64, block=32).collect()}
+    want = brute(ids, vectors.astype(float), 10, 0.85)
+    assert len(want) >= 6000
+    assert len(got & want) >= 0.95 * len(want)
+    whole = {(r.id, r.other) for r in similar_vectors(df, "id", "v", dim=64).collect()}
+    assert got == whole
+
+
+def test_large_bucket_is_compared_in_full():
+    rng = np.random.default_rng(2)
+    u = rng.normal(size=(9000, 64))
+    u[8000:] = u[:1000] + rng.normal(size=(1000, 64)) * 0.1
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    q = _pack(u).view(np.int64)
+    table = pa.table({"key": np.full(9000, -5), "id": np.arange(9000) * 2, **{f"q{c}": q[:, c] for c in range(4)}})
+    found = [b for b in _near_in_buckets(0.85, 4096, iter(table.to_batches(max_chunksize=1000)))]
+    blocks = [b.select(["xs", "xq", "ys", "yq"]) for b in found if b.column("xs").null_count == 0]
+    assert len(blocks) == 6
+    pairs = {(a, b) for p in _near_in_pairs_of_blocks(0.85, 4, iter(blocks)) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
+    assert {(2 * i, 2 * (i + 8000)) for i in range(1000)} <= pairs
