@@ -159,9 +159,29 @@ class NearDuplicates:
         return every.select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
 
 
-def near_duplicate_records(df: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
-    """(id, class_id, links): one row a record, the class of its exact unit sequence, and how many other classes are near it."""
+def _sequence_classes(unit: str, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, cls): the hash of each text's unit sequence, null for a text without units."""
+    for batch in it:
+        texts = batch.column(1).to_pylist()
+        for i, j in batches(texts):
+            h, first = _units(texts[i:j], unit)
+            cls = sequence_hash(h, first).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(cls, mask=np.diff(first) == 0)], ["id", "cls"])
+
+
+def near_duplicate_records(df: DataFrame, id_col: str, text_col: str, *, every: bool = False, **options) -> DataFrame:
+    """(id, class_id, links): one row a record, the class of its exact unit sequence, and how many other classes are near it.
+
+    Records whose text is null or has fewer than `least` units have no row, unless `every` is set: then those of equal unit
+    sequences form a class too, a text without units is a class of its own, and neither has links.
+    """
     op = NearDuplicates(df, id_col, text_col, **options)
     pairs = op.class_pairs()
     degree = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).groupBy("cls").agg(F.count("*").alias("links"))
-    return op.classes.select("id", "cls").distinct().join(degree, "cls", "left").select("id", F.col("cls").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
+    classes = op.classes.select("id", "cls").distinct()
+    if every:
+        ids = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null")
+        short = ids.mapInArrow(partial(_sequence_classes, op._args[0]), f"id {op.kind}, cls long").groupBy("id").agg(F.min("cls").alias("cls"))
+        rest = short.join(classes.select("id").distinct(), "id", "left_anti").select("id", F.coalesce("cls", F.xxhash64(F.lit("without units"), "id")).alias("cls"))
+        classes = classes.unionByName(rest)
+    return classes.join(degree, "cls", "left").select("id", F.col("cls").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))

@@ -28,8 +28,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
-    """One row a record: its class and its links, at five-word shingles and similarity 0.8."""
-    return near_duplicate_records(table(spark, d, "research"), "row_id", "text", shingle=5, threshold=0.8, name="omh-records")
+    """One row a record: its class and its links, at five-word shingles and similarity 0.8; shorter texts have no links."""
+    return near_duplicate_records(table(spark, d, "research"), "row_id", "text", every=True, shingle=5, threshold=0.8, least=5, name="omh-records")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 
 from lamplight.llm import words as W
 from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
+from lamplight.llm.queries import QUERIES
 
 
 def test_words_equal_a_plain_scan():
@@ -103,3 +104,15 @@ def test_hot_bucket_in_blocks(spark):
     rows = spark.range(100).selectExpr("7L as key", "id").unionByName(spark.createDataFrame([(1, 5), (1, 9), (1, 9), (2, 3)], "key long, id long"))
     got = {(r.a, r.b) for r in candidate_pairs(rows, "t", block=16).collect()}
     assert got == {(a, b) for a in range(100) for b in range(a + 1, 100)}
+
+
+def test_records_have_one_row_each(spark, tmp_path):
+    nine = "one two three four five six seven eight nine"
+    texts = [("a", nine), ("b", nine + " ten"), ("c", "Rice and soil."), ("d", "rice AND soil"), ("e", "rice"), ("f", None), ("g", None), ("h", ""), ("i", " \n"), ("j", "..."), ("k", nine.upper()), ("l", "a b c d e"), ("m", "a b c d e"), ("a", nine)]
+    spark.createDataFrame(texts, "row_id string, text string").write.parquet(f"{tmp_path}/research.parquet")
+    rows = QUERIES["p1_records"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in rows) == list("abcdefghijklm")
+    cls, links = {r.id: r.class_id for r in rows}, {r.id: r.links for r in rows}
+    assert cls["a"] == cls["k"] and cls["c"] == cls["d"] and cls["l"] == cls["m"]
+    assert len(set(cls.values())) == 10
+    assert {i for i in links if links[i]} == {"a", "b", "k"} and links["b"] == 1
