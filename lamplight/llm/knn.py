@@ -237,3 +237,56 @@ def similar_vectors(df: DataFrame, id_col: str, vector_col: str, *, dim: int, k:
     best = reach.unionByName(own).withColumn("n", F.row_number().over(Window.partitionBy("cls").orderBy(F.desc("similarity"), "other"))).where(F.col("n") <= k + 1).drop("n")
     mine = members.join(best, "cls").where("id <> other")
     return mine.withColumn("place", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).where(F.col("place") <= k).select("id", "other", "similarity", "place")
+
+
+def _nearest(shared, dim: int, k: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, other, similarity): of a task's rows the k most similar to each query, ties by id."""
+    names, vectors = shared.value
+    ids, best = np.empty((0, len(names)), object), np.empty((0, len(names)))
+    for batch in it:
+        for i in range(0, len(batch), 2048):
+            part = batch.slice(i, 2048)
+            at, u = usable_matrix(part.column(1), dim)
+            if not len(at):
+                continue
+            other = np.array(part.column(0).take(pa.array(at)).to_pylist(), object)
+            order = np.argsort(other, kind="stable")
+            near = np.where(other[order][:, None] == names[None, :], -np.inf, np.round(u[order] @ vectors.T, 6))
+            top = np.argsort(-near, axis=0, kind="stable")[:k]
+            ids, best = np.concatenate([ids, other[order][top]]), np.concatenate([best, np.take_along_axis(near, top, axis=0)])
+            if len(best) > k:
+                rank = np.argsort(ids, axis=0, kind="stable")
+                ids, best = np.take_along_axis(ids, rank, axis=0), np.take_along_axis(best, rank, axis=0)
+                rank = np.argsort(-best, axis=0, kind="stable")[:k]
+                ids, best = np.take_along_axis(ids, rank, axis=0), np.take_along_axis(best, rank, axis=0)
+    query = np.tile(names, (len(best), 1))
+    ok = np.isfinite(best)
+    for i in range(0, int(ok.sum()), 100_000):
+        part = slice(i, i + 100_000)
+        yield pa.RecordBatch.from_pydict({"id": query[ok][part].tolist(), "other": ids[ok][part].tolist(), "similarity": best[ok][part]})
+
+
+def nearest_vectors(df: DataFrame, id_col: str, vector_col: str, queries: DataFrame, *, dim: int, k: int = 10, block: int = 2000) -> DataFrame:
+    """(id, other, similarity, place): for each query, a row of queries(id_col, vector_col), its k most similar rows of df, however similar.
+
+    Exact: the queries go through the rows in blocks, each broadcast. Ties in similarity (to six places) go by id; a query doesn't find its
+    own id. Vectors that similar_vectors() leaves out take no part. Ids of strings or whole numbers are taken to be unique.
+    """
+    spark, kind = df.sparkSession, dict(df.dtypes)[id_col]
+    some = lambda x: x.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v")).where("id is not null and v is not null")
+    rows, schema = some(df), f"id {kind}, other {kind}, similarity double"
+    out, names, vectors = spark.createDataFrame([], schema), [], []
+
+    def scan() -> DataFrame:
+        good, u = usable_matrix(pa.array(vectors, pa.list_(pa.float32())), dim)
+        return rows.mapInArrow(partial(_nearest, spark.sparkContext.broadcast((np.array(names, object)[good], u)), dim, k), schema)
+
+    for row in some(queries).toLocalIterator():
+        names.append(row.id)
+        vectors.append(row.v)
+        if len(names) == block:
+            out, names, vectors = out.unionByName(scan()), [], []
+    if names:
+        out = out.unionByName(scan())
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))
+    return out.withColumn("place", place).where(F.col("place") <= k)

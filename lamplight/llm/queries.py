@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamplight.llm.encode import encode_corpus
-from lamplight.llm.knn import similar_vectors
+from lamplight.llm.knn import nearest_vectors, similar_vectors
 from lamplight.llm.leakage import find_leaks
 from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
 from lamplight.llm.quality import profile, text_kinds, text_statistics
@@ -51,6 +51,13 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return near.select(F.least("id", "other").alias("row_id_a"), F.greatest("id", "other").alias("row_id_b")).distinct()
 
 
+def p4_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """The 10 most similar records, however similar, of each record whose number divides by 50."""
+    research = table(spark, d, "research")
+    queries = research.where("cast(substring(row_id, 2) as bigint) % 50 = 0")
+    return nearest_vectors(research, "row_id", "vector", queries, dim=64).withColumnRenamed("id", "row_id")
+
+
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
     research = table(spark, d, "research").select(F.lit("research").alias("tab"), F.col("row_id").alias("rec"), "stem", "text")
     files = table(spark, d, "files").where("out is not null").select(F.lit("files").alias("tab"), F.col("path").alias("rec"), "stem", F.col("out").alias("text")).distinct()
@@ -90,7 +97,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return english_prose(p8_levels(spark, d).withColumnRenamed("doc_id", "id")).select(F.col("id").alias("doc_id"), "band")
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
+QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p4_nearest": p4_nearest, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
 def _near_sql(rows: str, units: str, least: int) -> str:
     """Pairs of rows(key, text) whose distinct sequences of three units (SQL list of t) have a Jaccard similarity of 0.5 or more."""
     return f"""

@@ -2,6 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 from lamplight.llm.knn import _near_in_buckets, _near_in_pairs_of_blocks, _pack, similar_vectors
+from lamplight.llm.queries import QUERIES
 
 NAN = float("nan")
 
@@ -77,3 +78,16 @@ def test_large_bucket_is_compared_in_full():
     assert len(blocks) == 6
     pairs = {(a, b) for p in _near_in_pairs_of_blocks(0.85, 4, iter(blocks)) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
     assert {(2 * i, 2 * (i + 8000)) for i in range(1000)} <= pairs
+
+
+def test_nearest_without_a_floor_equal_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(3000, 64)).astype(np.float32)
+    vectors[100:112] = vectors[0]
+    ids = [f"r{i:010d}" for i in range(3000)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)] + [("r0000005000", None), ("r0000005050", [0.0] * 64), ("r0000005100", [NAN] * 64)]
+    spark.createDataFrame(rows, "row_id string, vector array<float>").repartition(3).write.parquet(f"{tmp_path}/research.parquet")
+    got = {(r.row_id, r.other) for r in QUERIES["p4_nearest"](spark, str(tmp_path)).collect()}
+    wanted = set(ids[::50])
+    want = {(a, b) for a, b in brute(ids, vectors.astype(float), 10, -1.0) if a in wanted}
+    assert len(want) == 600 and got == want
