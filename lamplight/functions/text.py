@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -9,17 +10,24 @@ from pyspark.sql import functions as F
 
 #: Every Unicode white space character; Java's \s and Spark's trim know only ASCII ones.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 #: Words that stand for a missing value, lower case.
 NULL_WORDS = ["none", "null", "n/a", "na", "unknown", "not stated", "not specified"]
 #: Record types that are kept as they are.
-TYPES = ["Books", "Theses", "Serials", "Reports", "Articles", "Conference Papers", "Maps"]
-#: Phrase families that mark restricted material.
-RESTRICTED = r"(?i)\b(confidential|restricted|not for (?:circulation|distribution|public release)|internal use only|embargoed?|proprietary|do not (?:copy|distribute|reproduce))\b"
+TYPES = ["Books", "Serials", "Thesis/Dissertations", "Technical Reports", "Investigatory Projects", "Vertical Files", "Non-Prints"]
+#: Phrase families that mark restricted material; an underscore stands for a run of white space.
+_RESTRICTED = r"\b(restricted|confidential|not_for_(public|circulation|distribution)|internal_use_only|for_official_use_only|embargo(ed)?|do_not_distribute)\b"
+RESTRICTED = "(?i)" + _RESTRICTED.replace("_", f"{SPACE}+")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once a row, however often the body, or a lambda in it, refers to it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def strip(c: Column) -> Column:
     """c without white space at its ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse(c: Column) -> Column:
@@ -61,8 +69,8 @@ def prototype_id(path: Column, index: Column) -> Column:
 
 
 def clean_null(c: Column) -> Column:
-    """c as a string without white space and enclosing quotes; null if nothing or a null word is left."""
-    bare = strip(F.regexp_replace(strip(c.cast("string")), r"""^["']+|["']+$""", ""))
+    """c as a string without white space and enclosing double quotes; null if nothing or a null word is left."""
+    bare = strip(F.btrim(strip(c.cast("string")), F.lit('"')))
     return F.when((bare == "") | F.lower(bare).isin(NULL_WORDS), None).otherwise(bare)
 
 
@@ -92,10 +100,10 @@ def alphabetic_tokens(c: Column) -> Column:
 
 
 def garble(c: Column, least: int = 12, share: float = 0.45) -> dict[str, Column]:
-    """tokens, vowelless and keep of the unreadable-text filter: fewer than `least` tokens are kept, more if at most `share` lack a vowel."""
+    """tokens, vowelless and keep of the unreadable-text filter: fewer than `least` tokens are kept, more if at most `share` lack a vowel (a, e, i, o, u)."""
     tokens = alphabetic_tokens(c)
     n = F.size(tokens)
-    bad = F.size(F.filter(tokens, lambda t: ~t.rlike("[aeiouy]")))
+    bad = F.size(F.filter(tokens, lambda t: ~t.rlike("[aeiou]")))
     return {"tokens": n, "vowelless": bad, "keep": (n < least) | (bad <= share * n)}
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamplight.functions import text as T
 
-RECORD = "title string, authors string, responsibility string, year string, publisher string, language string, abstract string, subjects string, type string, is_research string, restricted string"
+#: The fields of a model's answer, the reasons of the flags, and of a document without readable text.
+RECORD = "title string, authors string, statement_of_responsibility string, year string, publisher string, language string, abstract string, subjects string, type string, is_research string, restricted string"
+REASONS = {"no-title": "No title could be read from the document", "restricted": "Marked restricted / not for open circulation", "junk": "Not research output (form, receipt, memo or similar)"}
+NO_TEXT = "No readable text in the index"
 
 
 def front_matter(chunks: DataFrame, key: str = "stem", parts: int = 3, most: int = 2800) -> DataFrame:
@@ -15,9 +18,7 @@ def front_matter(chunks: DataFrame, key: str = "stem", parts: int = 3, most: int
 
     Only the first chunks of each document are gathered, by a rank limit before the shuffle.
     """
-    from pyspark.sql import Window
-
-    order = [F.col("page").asc_nulls_first(), F.col("chunk_index").asc_nulls_first(), F.col("chunk_id")]
+    order = [F.col("page").asc_nulls_last(), F.col("chunk_index").asc_nulls_last(), F.col("chunk_id")]
     first = chunks.where("text is not null").withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= parts)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "text"))), lambda x: x["text"]), "\n")
     return first.groupBy(key).agg(T.snippet(joined, most).alias("front"))
@@ -36,7 +37,8 @@ def parse_record(raw: Column) -> Column:
 
 def normalised(record: Column) -> dict[str, Column]:
     """The fields of a record, cleaned; restricted and is_research stay true, false or null."""
-    plain = {c: T.clean_null(record[c]) for c in ("title", "authors", "responsibility", "publisher", "language", "abstract", "subjects")}
+    names = {c: c for c in ("title", "authors", "publisher", "language", "abstract", "subjects")} | {"responsibility": "statement_of_responsibility"}
+    plain = {c: T.clean_null(record[given]) for c, given in names.items()}
     truth = lambda c: F.when(F.lower(record[c]) == "true", True).when(F.lower(record[c]) == "false", False)
     return plain | {"year": T.year(record["year"]), "type": T.known_type(record["type"]), "is_research": truth("is_research"), "restricted": truth("restricted")}
 
@@ -53,8 +55,8 @@ def flags(title: Column, stem: Column, opening: Column, restricted: Column, is_r
 
 
 def reason(flags_: Column) -> Column:
-    texts = {"no-title": "no usable title", "restricted": "restricted content", "junk": "not research material"}
-    table = F.create_map(*(F.lit(x) for pair in texts.items() for x in pair))
+    """Why a record is held back: by its first flag."""
+    table = F.create_map(*(F.lit(x) for pair in REASONS.items() for x in pair))
     return F.element_at(table, F.get(flags_, F.lit(0)))
 
 

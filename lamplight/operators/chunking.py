@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import pandas as pd
@@ -11,10 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamplight.functions import text as T
+from lamplight.session import broadcast_if_small, materialize
 
+#: Fixed value: what separates the pages of paginated markdown.
 MARKER = r"\{(\d+)\}-{20,}"
-#: Separators of the recursive splitter, strongest first.
-SEPARATORS = ["\n## ", "\n### ", "\n#### ", "\n\n", "\n", ". ", " ", ""]
+#: Separators of the recursive splitter, strongest first, of plain and of paginated texts.
+SEPARATORS = ["\n\n", "\n", ". ", "; ", " ", ""]
+HEADED_SEPARATORS = ["\n## ", "\n### ", "\n#### ", *SEPARATORS]
+#: Headings that open an abstract, and those (or beginnings of them) that end it; an underscore stands for one blank.
+OPENS = "ABSTRACT|SUMMARY"
+CLOSES = "INTRODUCTION|TABLE_OF_CONTENTS|CONTENTS|ACKNOWLEDG|CHAPTER|LITERATURE_CITED|LITERATURE_REVIEW|REVIEW_OF_LITERATURE|MATERIALS_AND_METHODS|METHODOLOGY|REFERENCES|BIBLIOGRAPHY|LIST_OF_TABLES|LIST_OF_FIGURES"
 _TOKENS = re.compile(r"\w+|[^\w\s]")
 
 
@@ -47,14 +53,17 @@ def _starts(n: Column, step: int) -> Column:
 def word_windows(c: Column, size: int = 1000, overlap: int = 150) -> Column:
     """Windows of `size` words, ceil(n / step) of them: the last may lie within the one before."""
     words = F.filter(F.split(c, f"{T.SPACE}+"), lambda w: w != "")
-    return F.transform(_starts(F.size(words), size - overlap), lambda s: F.array_join(F.slice(words, s + 1, size), " "))
+    return T.let(words, lambda ws: F.transform(_starts(F.size(ws), size - overlap), lambda s: F.array_join(F.slice(ws, s + 1, size), " ")))
 
 
 def char_windows(c: Column, size: int = 1500, overlap: int = 200) -> Column:
-    """Stripped windows of `size` characters: none of an empty text, one of a text that fits, else ceil(n / step)."""
-    t = T.strip(c)
-    many = F.transform(_starts(F.length(t), size - overlap), lambda s: T.strip(F.substring(t, s + 1, F.lit(size))))
-    return F.when(F.coalesce(F.length(t), F.lit(0)) == 0, F.array().cast("array<string>")).when(F.length(t) <= size, F.array(t)).otherwise(many)
+    """Windows of `size` characters of the stripped text, as cut: none of an empty text, one of a text that fits, else ceil(n / step)."""
+
+    def windows(t: Column) -> Column:
+        many = F.transform(_starts(F.length(t), size - overlap), lambda s: F.substring(t, s + 1, F.lit(size)))
+        return F.when(F.coalesce(F.length(t), F.lit(0)) == 0, F.array().cast("array<string>")).when(F.length(t) <= size, F.array(t)).otherwise(many)
+
+    return T.let(T.strip(c), windows)
 
 
 def token_length(text: str) -> int:
@@ -102,37 +111,50 @@ def split_recursively(text: str, size: int = 512, overlap: int = 80, length=toke
     return [c.strip() for c in out if c.strip()]
 
 
-def _chunk(size: int, overlap: int, key: str, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _chunk(size: int, overlap: int, key: str, length: Callable[[str], int], separators: list[str], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in it:
-        rows = [(k, p, i, token_length(c), c) for k, p, t in zip(df[key], df["page"], df["text"], strict=True) for i, c in enumerate(split_recursively(t or "", size, overlap))]
+        rows = [(k, p, i, length(c), c) for k, p, t in zip(df[key], df["page"], df["text"], strict=True) for i, c in enumerate(split_recursively(t or "", size, overlap, length, separators))]
         yield pd.DataFrame(rows, columns=[key, "page", "chunk_index", "n_tokens", "text"])
 
 
-def chunk_pages(pages: DataFrame, key: str, size: int = 512, overlap: int = 80, drop_garbled: bool = True) -> DataFrame:
+def chunk_pages(pages: DataFrame, key: str, size: int = 512, overlap: int = 80, drop_garbled: bool = True, length: Callable[[str], int] = token_length, headed: bool = True) -> DataFrame:
     """Chunks of pages(key, page, text), numbered by page before empty and unreadable ones are dropped, so numbers may have gaps.
 
-    A chunk id that occurs again (two parts of a document on one page number) gets the suffix __2, __3 and so on from chunk_ids().
+    length measures a text, token_length() unless another tokenizer is given. headed says that the texts are markdown, whose headings
+    are the strongest places to cut. Null texts have no chunks. Two parts of a document on one page number give equal numbers.
     """
     kind = dict(pages.dtypes)[key]
-    chunks = pages.select(key, F.col("page").cast("int").alias("page"), "text").mapInPandas(partial(_chunk, size, overlap, key), f"`{key}` {kind}, page int, chunk_index int, n_tokens int, text string")
+    cut = partial(_chunk, size, overlap, key, length, HEADED_SEPARATORS if headed else SEPARATORS)
+    chunks = pages.select(key, F.col("page").cast("int").alias("page"), "text").mapInPandas(cut, f"`{key}` {kind}, page int, chunk_index int, n_tokens int, text string")
     return chunks.where(T.garble(F.col("text"))["keep"]) if drop_garbled else chunks
 
 
+def reading_order() -> Column:
+    """The place of a chunk in its document: by page, then chunk_index, nulls last, then a hash of its text."""
+    return F.struct(F.col("page").isNull(), "page", F.col("chunk_index").isNull(), "chunk_index", F.md5("text"))
+
+
 def abstract_of(chunks: DataFrame, key: str = "stem") -> DataFrame:
     """(key, abstract): the text after the first heading "abstract" or "summary" among a document's chunks, in reading order.
 
-    The heading stands alone on its line within the first 600 characters of its chunk. The abstract runs on into the next chunk and ends at the
-    next section heading; more than 120 characters are kept, 4,000 at most. The first heading decides: a short abstract gives null.
+    The heading stands alone on its line within the first 600 characters of its chunk, with or without markdown decoration. The abstract runs
+    on into the next chunk and ends at the next section heading; more than 120 characters are kept, 4,000 at most. The first heading
+    decides: a short abstract gives null. Chunks whose text is null are no chunks, and rows loaded twice count once.
+
+    No document is gathered in one task: places are reduced to the first heading's and the next one by aggregates, and only the texts at
+    these places are moved.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(key).orderBy("page", "chunk_index")
-    heading = r"(?im)^[#*\s]*(?:abstract|summary|executive summary)[*\s:]*$"
-    close = r"(?im)^[#*\s]*(?:introduction|table of contents|contents|chapter\b.*|keywords?\b.*|acknowledge?ments?|background|review of literature|materials and methods|methodology|results|\d+\.? introduction)[*\s:]*$"
-    seen = chunks.select(key, "page", "chunk_index", "text", F.lead("text").over(order).alias("following"))
-    at = F.regexp_instr(F.substring("text", 1, 600), F.lit(heading))
-    rest = F.element_at(F.split("text", heading, 2), -1)
-    body = F.element_at(F.split(F.concat_ws("\n", rest, "following"), close, 2), 1)
-    found = seen.where(at > 0).select(key, F.struct("page", "chunk_index").alias("place"), T.collapse(body).alias("body"))
-    first = found.groupBy(key).agg(F.min_by("body", "place").alias("body"))
-    return first.select(key, F.when(F.length("body") > 120, F.substring("body", 1, 4000)).alias("abstract"))
+    blank = T.SPACE[1:-1]
+    head = rf"(?is)^(.*?(?:^|\n)[{blank}#*_>]*(?:{OPENS})[{blank}*_:.\-]*(?:\n|\z))"
+    close = rf"(?i)\n[{blank}#*_>]*(?:{CLOSES.replace('_', ' ')})\b"
+    rows = chunks.where(F.col(key).isNotNull() & F.col("text").isNotNull()).select(key, "text", reading_order().alias("place"))
+    places = rows.select(key, "place", F.regexp_instr(F.substring("text", 1, 600), F.lit(head)).alias("hit"))
+    first = places.where("hit > 0").groupBy(key).agg(F.min("place").alias("first"))
+    second = places.drop("hit").join(first, key).where("place > first").groupBy(key).agg(F.min("place").alias("second"))
+    wanted = materialize(first.join(second, key, "left").select(key, F.explode(F.array("first", "second")).alias("place")).where("place is not null"), "abstracts")
+    found = rows.join(broadcast_if_small(wanted), [key, "place"], "left_semi").groupBy(key, "place").agg(F.first("text").alias("text"))
+    texts = found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("place", "text"))).alias("t"))
+    own = F.get("t", F.lit(0))["text"]
+    rest = F.substring(own, F.length(F.regexp_extract(F.substring(own, 1, 600), head, 1)) + 1, F.length(own))
+    body = F.element_at(F.split(F.concat_ws("\n", rest, F.get("t", F.lit(1))["text"]), close, 2), 1)
+    return texts.select(key, T.collapse(body).alias("body")).select(key, F.when(F.length("body") > 120, F.substring("body", 1, 4000)).alias("abstract"))

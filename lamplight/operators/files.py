@@ -12,26 +12,33 @@ from lamplight.session import materialize
 # --- triage -----------------------------------------------------------------
 
 
+#: A page has text from so many characters; TEXT_READY from one share of pages, NEEDS_OCR up to the other.
+LEAST_CHARS, READY, SCANNED = 50, 0.80, 0.05
+
+
 def bucket(fraction: Column, error: Column | None = None) -> Column:
-    """TEXT_READY from 0.80, NEEDS_OCR up to 0.05, else SUSPECT_TEXT_LAYER, of a rounded fraction; an error's name comes first."""
-    rule = F.when(fraction >= 0.80, "TEXT_READY").when(fraction <= 0.05, "NEEDS_OCR").otherwise("SUSPECT_TEXT_LAYER")
+    """TEXT_READY, NEEDS_OCR or SUSPECT_TEXT_LAYER of a rounded fraction; an error's name comes first."""
+    rule = F.when(fraction >= READY, "TEXT_READY").when(fraction <= SCANNED, "NEEDS_OCR").otherwise("SUSPECT_TEXT_LAYER")
     return rule if error is None else F.coalesce(error, rule)
 
 
-def triage(docs: DataFrame, key: str, pages: Column, least_chars: int = 50, most_pages: int = 12) -> DataFrame:
+def triage(docs: DataFrame, key: str, pages: Column, least_chars: int = LEAST_CHARS, most_pages: int = 12, failure: Column | None = None) -> DataFrame:
     """(key, pages_total, pages_inspected, pages_with_text, text_fraction, avg_chars_on_text_pages, bucket) from an array of page texts.
 
-    A null array can't be read (ERROR_READ), an empty one is ERROR_EMPTY. Fractions are rounded half to even before they're judged.
+    failure names what went wrong, 'open' or 'read' (ERROR_OPEN, ERROR_READ); without it a null array is one that can't be read. An empty
+    array is ERROR_EMPTY. Fractions are rounded half to even before they're judged.
     """
-    one = docs.select(key, pages.alias("pages")).withColumn("n", F.coalesce(F.size("pages"), F.lit(0)))
-    lengths = F.transform(page_picks(F.col("n"), most_pages), lambda i: F.length(T.strip(F.get(F.col("pages"), i))))
-    one = one.withColumn("lengths", lengths).withColumn("full", F.filter("lengths", lambda x: x >= least_chars))
+    count = F.coalesce(F.size(pages), F.lit(0))
+    lengths = T.let(pages, lambda p: F.transform(page_picks(F.coalesce(F.size(p), F.lit(0)), most_pages), lambda i: F.coalesce(F.length(T.strip(F.get(p, i))), F.lit(0))))
+    went = F.lower(failure) if failure is not None else F.lit(None).cast("string")
+    error = F.when(went == "open", "ERROR_OPEN").when((went == "read") | pages.isNull(), "ERROR_READ").when(count <= 0, "ERROR_EMPTY")
+    one = docs.select(key, count.alias("n"), F.coalesce(lengths, F.array().cast("array<int>")).alias("lengths"), error.alias("error"))
+    one = one.withColumn("full", F.filter("lengths", lambda x: x >= least_chars))
     inspected, full = F.size("lengths"), F.size("full")
     fraction = F.bround(full / F.greatest(inspected, F.lit(1)), 3)
     chars = F.aggregate("full", F.lit(0).cast("long"), lambda a, x: a + x)
-    error = F.when(F.col("pages").isNull(), "ERROR_READ").when(F.col("n") <= 0, "ERROR_EMPTY")
     return one.select(
-        key, F.greatest("n", F.lit(0)).alias("pages_total"), inspected.alias("pages_inspected"), full.alias("pages_with_text"), fraction.alias("text_fraction"), F.bround(chars / F.greatest(full, F.lit(1)), 1).alias("avg_chars_on_text_pages"), bucket(fraction, error).alias("bucket")
+        key, F.greatest("n", F.lit(0)).alias("pages_total"), inspected.alias("pages_inspected"), full.alias("pages_with_text"), fraction.alias("text_fraction"), F.bround(chars / F.greatest(full, F.lit(1)), 1).alias("avg_chars_on_text_pages"), bucket(fraction, F.col("error")).alias("bucket")
     )
 
 
@@ -70,6 +77,16 @@ def tier(pages: Column) -> Column:
     return F.when(pages.between(1, 10), "small").when(pages.between(11, 50), "medium").when(pages >= 51, "large")
 
 
+def work_order(manifest: DataFrame, ties: list[str], limit: int | None = None) -> DataFrame:
+    """(tier, *ties, pages, place): the pending files of each size class, smallest first; limit cuts each class, None doesn't.
+
+    Files without pages are in no class and are never worked on.
+    """
+    todo = manifest.where("status = 'pending'").select(tier(F.col("pages")).alias("tier"), *ties, "pages").where("tier is not null")
+    placed = todo.withColumn("place", F.row_number().over(Window.partitionBy("tier").orderBy("pages", *ties)))
+    return placed if limit is None else placed.where(F.col("place") <= limit)
+
+
 def latest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
     """One row a key, the newest; a total order in newest_first makes it deterministic."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
@@ -107,14 +124,23 @@ def status_totals(manifest: DataFrame) -> DataFrame:
 
 
 def duplicate_members(df: DataFrame, key: str, size: Column, content: Column) -> DataFrame:
-    """(key, size, digest): the rows whose content occurs more than once. Only rows that share their size are hashed."""
-    sized = df.select(key, size.alias("size"), content.alias("content")).where("size is not null and content is not null")
-    shared = sized.groupBy("size").count().where("count > 1").select("size")
-    hashed = sized.join(shared, "size", "left_semi").select(key, "size", F.md5("content").alias("digest"))
-    repeated = hashed.groupBy("size", "digest").count().where("count > 1").select("size", "digest")
+    """(key, size, digest): the rows whose content occurs more than once; empty content, or content of unknown size, has no duplicates.
+
+    Contents are hashed where they're read, and only keys, sizes and digests are kept, once; how often a digest occurs is counted with a
+    partial count on each side of the shuffle, so a hot digest is no hot task.
+    """
+    hashed = materialize(df.select(key, size.alias("size"), F.md5(content).alias("digest")).where("size > 0 and digest is not null"), "digests")
+    repeated = hashed.groupBy("size", "digest").agg(F.count("*").alias("n")).where("n > 1").select("size", "digest")
     return hashed.join(repeated, ["size", "digest"], "left_semi").select(key, "size", "digest")
 
 
 def keepers(members: DataFrame, best: list[Column]) -> DataFrame:
-    """One row a set of duplicates: the first in the order `best`."""
-    return latest(members, ["size", "digest"], best)
+    """One row a set of duplicates: the one of least values `best`, nulls first; found by a partial minimum, so a hot set is no hot task."""
+    rows = members.groupBy("size", "digest").agg(F.min_by(F.struct(*members.columns), F.struct(*best)).alias("r"))
+    return rows.select("r.*")
+
+
+def redundant_pages(members: DataFrame, order: list[Column], pages: str = "pages") -> DataFrame:
+    """One row (redundant_pages): of each set of duplicates the pages of its member of least values `order`, times its further members."""
+    sets = members.groupBy("size", "digest").agg(F.count("*").alias("n"), F.min_by(F.coalesce(F.col(pages), F.lit(0)), F.struct(*order)).alias("pages"))
+    return sets.agg(F.coalesce(F.sum(F.col("pages") * (F.col("n") - 1)), F.lit(0)).alias("redundant_pages"))

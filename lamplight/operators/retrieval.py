@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lamplight.functions import text as T
 from lamplight.models import Encoder, Generator, lexical_score
 
+#: Lengths of the two lists, of the fused one and of the result, and the constant of reciprocal rank fusion.
 DENSE, LEXICAL, FUSED, TOP, RRF_K = 30, 30, 24, 5, 60
 K1, B = 1.2, 0.75
 
@@ -145,14 +146,16 @@ def context(passages_: Column) -> Column:
 
 
 def answer(rows: list[dict], query: str, generator: Generator, sentinel: str) -> dict:
-    """{answer, sources, abstained} of at most a page of passages; the model isn't called without any."""
+    """{answer, sources, abstained} of at most a page of passages; the model isn't called without any, and one that abstains gives neither text nor sources."""
     shown = [r for r in rows if (r.get("text") or "").strip()]
     if not shown:
         return {"answer": "", "sources": [], "abstained": True}
     prompt = "\n\n".join(f"[{i}] (source: {r['stem']}, p.{r['page']})\n{r['text']}" for i, r in enumerate(shown, 1))
     text = (generator(f"{prompt}\n\n{query}") or "").strip()
+    if not text or sentinel in text:
+        return {"answer": "", "sources": [], "abstained": True}
     sources = [{"stem": r["stem"], "page": r["page"], "score": round(r["score"], 3), "snippet": " ".join(r["text"].split())[:320]} for r in shown]
-    return {"answer": text, "sources": sources, "abstained": not text or sentinel in text}
+    return {"answer": text, "sources": sources, "abstained": False}
 
 
 def render(rows: list[dict]) -> str:

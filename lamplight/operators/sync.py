@@ -59,9 +59,9 @@ def gate(actions: DataFrame, view: DataFrame) -> DataFrame:
 
 
 def metadata_blob() -> Column:
-    """The labelled lines that stand for a catalogue record."""
-    published = F.concat_ws(", ", *(F.when(F.col(c) != "", F.col(c)) for c in ("publisher", "pub_year")))
-    return T.labelled_blob({"Title": F.col("title_statement"), "Author(s)": F.col("joint_authors"), "Published": published, "Summary": F.col("summary"), "Note": F.col("general_note")})
+    """The labelled lines that stand for a catalogue record, stripped; publisher and year are stripped each and joined by a blank."""
+    published = T.strip(F.concat_ws(" ", *(T.strip(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in ("publisher", "pub_year"))))
+    return T.strip(T.labelled_blob({"Title": F.col("title_statement"), "Author(s)": F.col("joint_authors"), "Published": published, "Summary": F.col("summary"), "Note": F.col("general_note")}))
 
 
 def catalog_chunks(gated: DataFrame, fulltext: Column | None = None) -> DataFrame:

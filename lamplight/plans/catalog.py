@@ -9,21 +9,22 @@ from lamplight.functions import text as T
 from lamplight.operators import catalog as C
 from lamplight.operators import sync, tables
 from lamplight.operators.chunking import abstract_of
-from lamplight.plans.registry import query, strip_sql
+from lamplight.plans.registry import SPACE, query, strip_sql
 from lamplight.session import materialize, table
 
-_NULLS = ", ".join(f"'{w}'" for w in T.NULL_WORDS)
+# The SQL writes every fixed value out itself, so that a wrong one in the operators shows.
+_NULLS = "'none', 'null', 'n/a', 'na', 'unknown', 'not stated', 'not specified'"
 
 
 def _clean_sql(c: str) -> str:
-    quotes = """'^["'']+|["'']+$'"""
+    quotes = """'^"+|"+$'"""
     bare = strip_sql(f"regexp_replace({strip_sql(f'CAST({c} AS VARCHAR)')}, {quotes}, '', 'g')")
     return f"(CASE WHEN {bare} = '' OR lower({bare}) IN ({_NULLS}) THEN NULL ELSE {bare} END)"
 
 
 @query("""
     SELECT stem, md5(substr(string_agg(text, chr(10) ORDER BY n), 1, 2800)) AS digest
-    FROM (SELECT stem, text, row_number() OVER (PARTITION BY stem ORDER BY page NULLS FIRST, chunk_index NULLS FIRST, chunk_id, row_id) AS n FROM research WHERE text IS NOT NULL) WHERE n <= 3 GROUP BY stem""")
+    FROM (SELECT stem, text, row_number() OVER (PARTITION BY stem ORDER BY page NULLS LAST, chunk_index NULLS LAST, chunk_id, row_id) AS n FROM research WHERE text IS NOT NULL) WHERE n <= 3 GROUP BY stem""")
 def f_front_matter(spark, d):
     """The front matter of each document."""
     rows = table(spark, d, "research").withColumn("chunk_id", F.concat_ws("\u0000", "chunk_id", "row_id"))
@@ -36,14 +37,14 @@ def f_last_page(spark, d):
     return C.last_pages(table(spark, d, "research"))
 
 
-@query(f"SELECT meta_id, md5({_clean_sql('title')}) AS title, {_clean_sql('publisher')} AS publisher, substr({_clean_sql('year')}, 1, 4) AS year, {_clean_sql('language')} AS language, CASE WHEN {_clean_sql('type')} IN ({', '.join(repr(t) for t in T.TYPES)}) THEN {_clean_sql('type')} ELSE 'Books' END AS type FROM metadata")
+@query(f"SELECT meta_id, md5({_clean_sql('title')}) AS title, {_clean_sql('publisher')} AS publisher, substr({_clean_sql('year')}, 1, 4) AS year, {_clean_sql('language')} AS language, CASE WHEN {_clean_sql('type')} IN ('Books', 'Serials', 'Thesis/Dissertations', 'Technical Reports', 'Investigatory Projects', 'Vertical Files', 'Non-Prints') THEN {_clean_sql('type')} ELSE 'Books' END AS type FROM metadata")
 def f_clean_nulls(spark, d):
     """Metadata with null words as nulls, years cut, types known."""
     c = F.col
     return table(spark, d, "metadata").select("meta_id", F.md5(T.clean_null(c("title"))).alias("title"), T.clean_null(c("publisher")).alias("publisher"), T.year(c("year")).alias("year"), T.clean_null(c("language")).alias("language"), T.known_type(c("type")).alias("type"))
 
 
-_PATTERN = T.RESTRICTED
+_PATTERN = r"(?i)\b(restricted|confidential|not\s+for\s+public|not\s+for\s+circulation|not\s+for\s+distribution|internal\s+use\s+only|for\s+official\s+use\s+only|embargo|embargoed|do\s+not\s+distribute)\b".replace(r"\s", SPACE)
 
 
 @query(f"SELECT meta_id, coalesce(regexp_matches(title, '{_PATTERN}'), false) OR coalesce(regexp_matches(abstract, '{_PATTERN}'), false) OR coalesce(restricted, false) AS hit FROM metadata")
@@ -63,7 +64,7 @@ def _flags(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "metadata").select("meta_id", "type", made.alias("flags"))
 
 
-@query(f"SELECT meta_id, array_to_string(f, ',') AS flags, CASE f[1] WHEN 'no-title' THEN 'no usable title' WHEN 'restricted' THEN 'restricted content' WHEN 'junk' THEN 'not research material' END AS reason FROM ({_FLAGS})")
+@query(f"SELECT meta_id, array_to_string(f, ',') AS flags, CASE f[1] WHEN 'no-title' THEN 'No title could be read from the document' WHEN 'restricted' THEN 'Marked restricted / not for open circulation' WHEN 'junk' THEN 'Not research output (form, receipt, memo or similar)' END AS reason FROM ({_FLAGS})")
 def f_triage_flags(spark, d):
     """The triage flags of every metadata record, in order, and the reason."""
     return _flags(spark, d).select("meta_id", F.array_join("flags", ",").alias("flags"), C.reason(F.col("flags")).alias("reason"))
@@ -88,10 +89,21 @@ def f_resume(spark, d):
     return C.todo(stems, table(spark, d, "metadata").where("stem is not null"))
 
 
-@query()
+_BLANK = SPACE[1:-1]
+_HEAD = rf"(?is)^(.*?(?:^|\n)[{_BLANK}#*_>]*(?:abstract|summary)[{_BLANK}*_:.\-]*(?:\n|\z))"
+_CLOSE = rf"(?i)\n[{_BLANK}#*_>]*(?:introduction|table of contents|contents|acknowledg|chapter|literature (?:cited|review)|review of literature|materials and methods|methodology|references|bibliography|list of (?:tables|figures))\b"
+
+
+@query(rf"""
+    WITH r AS (SELECT DISTINCT stem, page, chunk_index, text, md5(text) AS h FROM research WHERE stem IS NOT NULL AND text IS NOT NULL),
+    o AS (SELECT *, lead(text) OVER w AS following, row_number() OVER w AS n FROM r WINDOW w AS (PARTITION BY stem ORDER BY page NULLS LAST, chunk_index NULLS LAST, h)),
+    f AS (SELECT *, length(regexp_extract(substr(text, 1, 600), '{_HEAD}', 1)) AS cut FROM o WHERE regexp_matches(substr(text, 1, 600), '{_HEAD}')),
+    b AS (SELECT stem, regexp_split_to_array(concat_ws(chr(10), substr(text, cut + 1), following), '{_CLOSE}')[1] AS body FROM f QUALIFY row_number() OVER (PARTITION BY stem ORDER BY n) = 1),
+    c AS (SELECT stem, trim(regexp_replace(body, '{SPACE}+', ' ', 'g')) AS body FROM b)
+    SELECT stem, CASE WHEN length(body) > 120 THEN md5(substr(body, 1, 4000)) END AS abstract FROM c""")
 def f_abstract(spark, d):
     """Abstracts found under their heading."""
-    return abstract_of(table(spark, d, "research").where("stem is not null")).select("stem", F.length("abstract").alias("n_chars"))
+    return abstract_of(table(spark, d, "research")).select("stem", F.md5("abstract").alias("abstract"))
 
 
 @query("SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events")
@@ -142,8 +154,8 @@ def g_pending_dedupe(spark, d):
     return tables.replace_pending(table(spark, d, "queue").select("id", "catalog_id", "processed_at"), new).select("id", "catalog_id")
 
 
-_BLOB = """
-    concat_ws(chr(10), 'Title: ' || nullif(title_statement, ''), 'Author(s): ' || nullif(joint_authors, ''), 'Published: ' || nullif(concat_ws(', ', nullif(publisher, ''), nullif(pub_year, '')), ''), 'Summary: ' || nullif(summary, ''), 'Note: ' || nullif(general_note, ''))"""
+_PUBLISHED = strip_sql(f"concat({strip_sql("coalesce(publisher, '')")}, ' ', {strip_sql("coalesce(pub_year, '')")})")
+_BLOB = strip_sql(f"concat_ws(chr(10), 'Title: ' || nullif(title_statement, ''), 'Author(s): ' || nullif(joint_authors, ''), 'Published: ' || nullif({_PUBLISHED}, ''), 'Summary: ' || nullif(summary, ''), 'Note: ' || nullif(general_note, ''))")
 
 
 @query(f"SELECT catalog_id, md5({_BLOB}) AS digest FROM view_catalogs")
@@ -165,7 +177,7 @@ def g_gate(spark, d):
 
 _APPLIED = f"""
     WITH g AS ({_GATE.replace(_LAST, f"SELECT * FROM queue WHERE catalog_id IS NOT NULL AND {_WAITS} QUALIFY row_number() OVER (PARTITION BY catalog_id ORDER BY created_at DESC NULLS LAST, id DESC) = 1")}),
-    b AS (SELECT v.catalog_id, {strip_sql(_BLOB)} AS t FROM view_catalogs v JOIN g ON v.catalog_id = g.catalog_id AND g.verdict = 'upsert' WHERE v.deleted_at IS NULL),
+    b AS (SELECT v.catalog_id, {_BLOB} AS t FROM view_catalogs v JOIN g ON v.catalog_id = g.catalog_id AND g.verdict = 'upsert' WHERE v.deleted_at IS NULL),
     n AS (SELECT catalog_id, CASE WHEN t = '' THEN 0 WHEN length(t) <= 1500 THEN 1 ELSE ceil(length(t) / 1300)::INT END AS n FROM b)
     SELECT catalog_id, count(*) AS chunks FROM research WHERE catalog_id IS NOT NULL AND catalog_id NOT IN (SELECT catalog_id FROM g) GROUP BY catalog_id
     UNION ALL SELECT catalog_id, n::BIGINT FROM n WHERE n > 0"""

@@ -93,13 +93,10 @@ def b_tier_rollup(spark, d):
     return _manifest(spark, d).select(files.tier(F.col("pages")).alias("tier"), "pages").groupBy("tier").agg(F.count("*").alias("n"), F.coalesce(F.sum("pages"), F.lit(0)).alias("pages"))
 
 
-@query(f"SELECT path, pages, (row_number() OVER (ORDER BY pages, path))::INT AS place FROM ({_LATEST}) WHERE status = 'pending' ORDER BY pages, path LIMIT 50")
+@query(f"SELECT tier, path, pages, (row_number() OVER (PARTITION BY tier ORDER BY pages, path))::INT AS place FROM (SELECT {_TIER} AS tier, path, pages FROM ({_LATEST}) WHERE status = 'pending') WHERE tier IS NOT NULL")
 def b_pending_order(spark, d):
-    """The next 50 files to be worked on: pending ones, smallest first. Failed ones aren't tried again."""
-    from pyspark.sql import Window
-
-    head = _manifest(spark, d).where("status = 'pending'").orderBy(F.col("pages").asc_nulls_last(), "path").limit(50)
-    return head.select("path", "pages", F.row_number().over(Window.orderBy(F.col("pages").asc_nulls_last(), "path")).alias("place"))
+    """The files to be worked on, by size class: every pending one, smallest first. Failed ones aren't tried again."""
+    return files.work_order(_manifest(spark, d), ["path"])
 
 
 @query("SELECT DISTINCT stem FROM research WHERE stem IS NOT NULL AND stem NOT IN (SELECT stem FROM files WHERE stem IS NOT NULL)")
@@ -123,7 +120,7 @@ def b_mark_skip(spark, d):
 
 
 _MEMBERS = """
-    SELECT doc_id, source, n_chars AS size, md5(text) AS digest FROM documents WHERE text IS NOT NULL
+    SELECT doc_id, source, n_chars AS size, md5(text) AS digest FROM documents WHERE text IS NOT NULL AND n_chars > 0
     QUALIFY count(*) OVER (PARTITION BY n_chars, md5(text)) > 1"""
 
 
@@ -142,7 +139,7 @@ _KEEPER = f"SELECT doc_id, size, digest FROM ({_MEMBERS}) QUALIFY row_number() O
 
 
 def _keepers(spark: SparkSession, d: str) -> DataFrame:
-    return files.keepers(_members(spark, d), [F.length("source").asc_nulls_last(), F.col("doc_id")])
+    return files.keepers(_members(spark, d), [F.col("source").isNull(), F.length("source"), F.col("doc_id")])
 
 
 @query(_KEEPER)
@@ -164,6 +161,17 @@ def c_kept(spark, d):
     return kept.agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
 
 
+@query(f"""
+    WITH f AS (SELECT path, pages, length(out) AS size, md5(out) AS digest FROM (SELECT DISTINCT path, pages, out FROM files WHERE out <> '')),
+    s AS (SELECT size, digest, count(*) AS n, first(pages ORDER BY path, pages) AS pages FROM f GROUP BY size, digest HAVING count(*) > 1)
+    SELECT coalesce(sum(coalesce(pages, 0) * (n - 1)), 0)::BIGINT AS redundant_pages FROM s""")
+def c_redundant_pages(spark, d):
+    """Pages that redundant copies of scanned files would take: of each set the first file's, by path, times the others."""
+    f = table(spark, d, "files").where("out is not null").select("path", "pages", "out").distinct().withColumn("id", F.struct("path", "pages"))
+    members = files.duplicate_members(f, "id", F.length("out"), F.col("out")).select("size", "digest", "id.path", "id.pages")
+    return files.redundant_pages(members, [F.col("path"), F.col("pages")])
+
+
 @query(f"SELECT coalesce(sum(size * (n - 1)), 0)::BIGINT AS redundant_chars FROM (SELECT size, digest, count(*) AS n FROM ({_MEMBERS}) GROUP BY size, digest)")
 def c_redundant_total(spark, d):
     """Characters that redundant copies take."""
@@ -198,7 +206,7 @@ def d_word_windows_small(spark, d):
 @query(f"""
     WITH t AS (SELECT doc_id, {strip_sql('text')} AS t FROM documents WHERE text IS NOT NULL),
     s AS (SELECT doc_id, t, CASE WHEN length(t) <= 1500 THEN 0 ELSE ix END AS ix FROM (SELECT doc_id, t, unnest(generate_series(0, length(t) - 1, 1300)) AS ix FROM t WHERE t <> '') WHERE ix = 0 OR length(t) > 1500)
-    SELECT doc_id, (ix // 1300)::INT AS chunk_index, length({strip_sql('substr(t, ix + 1, 1500)')})::INT AS n_chars, md5({strip_sql('substr(t, ix + 1, 1500)')}) AS digest FROM s""")
+    SELECT doc_id, (ix // 1300)::INT AS chunk_index, length(substr(t, ix + 1, 1500))::INT AS n_chars, md5(substr(t, ix + 1, 1500)) AS digest FROM s""")
 def d_char_windows(spark, d):
     """Windows of 1,500 characters, overlapping by 200."""
     w = table(spark, d, "documents").select("doc_id", F.posexplode(chunking.char_windows(F.col("text"))).alias("chunk_index", "t"))
@@ -227,7 +235,7 @@ def d_recursive_chunks(spark, d):
 
 _GARBLE = """
     WITH t AS (SELECT row_id, regexp_extract_all(lower(text), '[a-z]{3,}') AS t FROM research WHERE text IS NOT NULL),
-    v AS (SELECT row_id, len(t) AS n, len(list_filter(t, lambda x: NOT regexp_matches(x, '[aeiouy]'))) AS bad FROM t)
+    v AS (SELECT row_id, len(t) AS n, len(list_filter(t, lambda x: NOT regexp_matches(x, '[aeiou]'))) AS bad FROM t)
     SELECT row_id, n::INT AS tokens, bad::INT AS vowelless, n < 12 OR bad <= 0.45 * n AS keep FROM v"""
 
 

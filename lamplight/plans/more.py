@@ -70,9 +70,9 @@ def g_acknowledge(spark, d):
 
 
 @query(f"""
-    WITH b AS (SELECT catalog_id, {strip_sql(_BLOB)} AS t FROM view_catalogs WHERE deleted_at IS NULL AND is_published = 1),
+    WITH b AS (SELECT catalog_id, {_BLOB} AS t FROM view_catalogs WHERE deleted_at IS NULL AND is_published = 1),
     s AS (SELECT catalog_id, t, unnest(CASE WHEN length(t) <= 1500 THEN [0] ELSE generate_series(0, length(t) - 1, 1300) END) AS ix FROM b WHERE t <> '')
-    SELECT concat('cat-', catalog_id, '-', ix // 1300) AS chunk_id, concat('catalog:', catalog_id) AS source, md5({strip_sql('substr(t, ix + 1, 1500)')}) AS digest FROM s""")
+    SELECT concat('cat-', catalog_id, '-', ix // 1300) AS chunk_id, concat('catalog:', catalog_id) AS source, md5(substr(t, ix + 1, 1500)) AS digest FROM s""")
 def g_catalog_chunks(spark, d):
     """The index rows of every published record."""
     actions = table(spark, d, "view_catalogs").select("catalog_id", F.lit("upsert").alias("action"))

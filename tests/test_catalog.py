@@ -12,10 +12,10 @@ def test_front_matter_reads_in_order(spark):
 
 
 def test_records_from_raw(spark):
-    raw = [('```json\n{"title": "None", "year": "1999-2000", "type": "Maps", "restricted": "True", "is_research": false}\n```',), ('text {"title": "\\"Rice\\"", "type": "Odd"} text',), ("broken {", ), (None,)]
+    raw = [('```json\n{"title": "None", "year": "1999-2000", "type": "Vertical Files", "statement_of_responsibility": "by A. B", "restricted": "True", "is_research": false}\n```',), ('text {"title": "\\"Rice\\"", "type": "Odd"} text',), ("broken {", ), (None,)]
     df = spark.createDataFrame(raw, "raw string").select(C.parse_record(F.col("raw")).alias("r"))
     got = df.select(*(c.alias(n) for n, c in C.normalised(F.col("r")).items())).collect()
-    assert (got[0].title, got[0].year, got[0].type, got[0].restricted, got[0].is_research) == (None, "1999", "Maps", True, False)
+    assert (got[0].title, got[0].year, got[0].type, got[0].restricted, got[0].is_research, got[0].responsibility) == (None, "1999", "Vertical Files", True, False, "by A. B")
     assert (got[1].title, got[1].type, got[1].restricted) == ("Rice", "Books", None)
     assert got[2].title is None and got[3].title is None
 
@@ -25,7 +25,7 @@ def test_flags(spark):
     df = spark.createDataFrame(rows, "title string, stem string, opening string, restricted boolean, research boolean")
     made = C.flags(F.col("title"), F.col("stem"), F.col("opening"), F.col("restricted"), F.col("research"))
     got = df.select(made.alias("flags"), C.reason(made).alias("why"), F.lit("Books").alias("type"))
-    assert [(r.flags, r.why) for r in got.collect()] == [([], None), (["no-title", "restricted", "junk"], "no usable title"), (["no-title"], "no usable title"), (["restricted"], "restricted content")]
+    assert [(r.flags, r.why) for r in got.collect()] == [([], None), (["no-title", "restricted", "junk"], "No title could be read from the document"), (["no-title"], "No title could be read from the document"), (["restricted"], "Marked restricted / not for open circulation")]
     assert {r.flag: r.n for r in C.flag_counts(got).collect()} == {"no-title": 2, "restricted": 2, "junk": 1, "(published)": 1}
     assert C.published_types(got).first().n == 1
 

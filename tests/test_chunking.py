@@ -69,10 +69,46 @@ def test_chunk_numbers_have_gaps(spark):
     assert sorted(r.chunk_index for r in rows) == [0, 2]
 
 
+def abstracts(spark, rows):
+    return {r.stem: r.abstract for r in C.abstract_of(spark.createDataFrame(rows, "stem string, page int, chunk_index int, text string")).collect()}
+
+
+BODY = "Rice was grown on nine plots. " * 8
+
+
 def test_abstract(spark):
-    body = "Rice was grown on nine plots. " * 8
-    rows = [("a", 1, 0, "Title\nABSTRACT\n" + body), ("a", 1, 1, "more of it\nIntroduction\nno more"), ("b", 1, 0, "Summary\nshort"), ("b", 1, 1, "Introduction\nx"), ("c", 1, 0, "the abstract says"), ("d", 1, 0, "x" * 601 + "\nAbstract\n" + body)]
-    got = {r.stem: r.abstract for r in C.abstract_of(spark.createDataFrame(rows, "stem string, page int, chunk_index int, text string")).collect()}
+    rows = [("a", 1, 0, "Title\n## **ABSTRACT**\n" + BODY), ("a", 1, 1, "more of it\n# Introduction\nno more"), ("b", 1, 0, "Summary\nshort"), ("b", 1, 1, "Introduction\nx"), ("c", 1, 0, "the abstract says"), ("d", 1, 0, "x" * 601 + "\nAbstract\n" + BODY)]
+    got = abstracts(spark, rows)
     assert set(got) == {"a", "b"}
     assert got["b"] is None
     assert got["a"].endswith("more of it")
+
+
+def test_abstract_headings(spark):
+    ends = ["Literature Cited", "LITERATURE REVIEW", "References", "BIBLIOGRAPHY", "List of Tables", "list of figures", "Acknowledg.", "CHAPTER 2", "Methodology"]
+    rows = [(f"e{i}", 1, 0, f"Abstract:\n{BODY}\n**{h}**\nrest") for i, h in enumerate(ends)]
+    rows += [("k", 1, 0, f"Executive Summary\n{BODY}"), ("r", 1, 0, f"SUMMARY\n{BODY}\nResults\nKeywords: x"), ("n", 1, 0, f"SUMMARY\n{BODY}"), ("n", 1, 1, None), ("n", None, 0, "last"), ("n", 1, 0, f"SUMMARY\n{BODY}")]
+    got = abstracts(spark, rows)
+    assert {k for k in got if k[0] == "e" and got[k] == BODY.strip()} == {f"e{i}" for i in range(len(ends))}
+    assert "k" not in got
+    assert got["r"].endswith("Results Keywords: x")
+    assert got["n"].endswith("plots. last")  # a row loaded twice counts once, nulls come last
+    assert abstracts(spark, [("a", 1, 0, f"Abstract\n{'x' * 121}"), ("b", 1, 0, f"Abstract\n{'x' * 120}"), (None, 1, 0, f"Abstract\n{BODY}")]) == {"a": "x" * 121, "b": None}
+
+
+def test_char_windows_are_as_cut(spark):
+    text = "a" * 1499 + "  " + "b" * 1200
+    got = spark.createDataFrame([(f" {text}\u3000",)], "t string").select(C.char_windows(F.col("t")).alias("w")).first().w
+    assert got == [text[i : i + 1500] for i in range(0, len(text), 1300)] and got[0].endswith(" ")
+
+
+def test_separators_of_plain_and_headed_texts():
+    assert C.split_recursively("one two; three four", 10, 0, length=len) == ["one two", "; three", "four"]
+    text = "aaaa bbbb\n## cccc dddd"
+    assert C.split_recursively(text, 13, 0, length=len, separators=C.HEADED_SEPARATORS) == ["aaaa bbbb", "## cccc dddd"]
+
+
+def test_length_is_injected(spark):
+    rows = spark.createDataFrame([("s", 1, "rice soil duck yam")], "stem string, page int, text string")
+    assert [r.n_tokens for r in C.chunk_pages(rows, "stem", length=len).collect()] == [18]
+    assert [r.text for r in C.chunk_pages(rows, "stem", size=9, overlap=0, length=len, headed=False).collect()] == ["rice soil", "duck yam"]

@@ -17,6 +17,18 @@ def test_triage_is_total(spark):
     assert got == {1: ("ERROR_READ", 0), 2: ("ERROR_EMPTY", 0), 3: ("TEXT_READY", 4), 4: ("NEEDS_OCR", 0), 5: ("SUSPECT_TEXT_LAYER", 1)}
 
 
+def test_triage_tells_open_from_read(spark):
+    df = spark.createDataFrame([(1, None, "open"), (2, None, "read"), (3, ["x" * 60], None), (4, None, None)], "id int, p array<string>, e string")
+    got = {r.id: (r.bucket, r.pages_inspected) for r in L.triage(df, "id", F.col("p"), failure=F.col("e")).collect()}
+    assert got == {1: ("ERROR_OPEN", 0), 2: ("ERROR_READ", 0), 3: ("TEXT_READY", 1), 4: ("ERROR_READ", 0)}
+
+
+def test_work_order(spark):
+    df = spark.createDataFrame([("a", 9, "pending"), ("b", 2, "pending"), ("c", 60, "pending"), ("d", 0, "pending"), ("e", 3, "done"), ("f", None, "pending")], "path string, pages int, status string")
+    assert {(r.tier, r.path, r.place) for r in L.work_order(df, ["path"]).collect()} == {("small", "b", 1), ("small", "a", 2), ("large", "c", 1)}
+    assert L.work_order(df, ["path"], limit=1).count() == 2
+
+
 def test_tiers(spark):
     df = spark.createDataFrame([(0,), (1,), (10,), (11,), (50,), (51,), (None,)], "n int")
     assert [r.t for r in df.select(L.tier(F.col("n")).alias("t")).collect()] == [None, "small", "small", "medium", "medium", "large", None]
@@ -43,9 +55,12 @@ def test_manifest_changes(spark):
 
 
 def test_duplicates(spark):
-    rows = [(1, 3, "abc"), (2, 3, "abc"), (3, 3, "xyz"), (4, 5, "abcde"), (5, None, None), (6, 0, ""), (7, 0, "")]
+    rows = [(1, 3, "abc"), (2, 3, "abc"), (3, 3, "xyz"), (4, 5, "abcde"), (5, None, None), (6, 0, ""), (7, 0, ""), (8, 4, "abcd"), (9, 4, "abcd"), (10, 4, "abcd")]
     df = spark.createDataFrame(rows, "id int, n int, t string")
     members = L.duplicate_members(df, "id", F.col("n"), F.col("t"))
-    assert sorted(r.id for r in members.collect()) == [1, 2, 6, 7]
-    assert sorted(r.id for r in L.keepers(members, [F.desc("id")]).collect()) == [2, 7]
+    assert sorted(r.id for r in members.collect()) == [1, 2, 8, 9, 10]  # empty content is no duplicate
+    assert sorted(r.id for r in L.keepers(members, [-F.col("id")]).collect()) == [2, 10]
+    paged = members.withColumn("pages", 11 - F.col("id"))
+    assert L.redundant_pages(paged, [F.col("id")]).first().redundant_pages == 10 * 1 + 3 * 2
+    assert L.redundant_pages(paged.where("id < 0"), [F.col("id")]).first().redundant_pages == 0
     assert L.duplicate_members(df.where("id < 0"), "id", F.col("n"), F.col("t")).count() == 0

@@ -75,7 +75,7 @@ def test_passages_and_answers(spark):
     assert [(r.text, r.score) for r in R.passages(rows).collect()] == [("a b", 0.123)]
     hit = {"stem": "s", "page": 1, "score": 0.5, "text": "rice"}
     assert R.answer([hit], "q", lambda p: "yes", "NONE")["abstained"] is False
-    assert R.answer([hit], "q", lambda p: "NONE of it", "NONE")["abstained"] is True
+    assert R.answer([hit], "q", lambda p: "NONE of it", "NONE") == {"answer": "", "sources": [], "abstained": True}
     assert R.answer([{**hit, "text": " "}], "q", lambda p: 1 / 0, "NONE") == {"answer": "", "sources": [], "abstained": True}
     assert R.render([hit]) == "1 results\n\n[1] s (p.1, score 0.50)\nrice"
     array = spark.createDataFrame([([("s", 2, "t")],)], "p array<struct<stem: string, page: int, text: string>>")

@@ -24,7 +24,7 @@ def test_paths(spark, path, name, stem, suffix):
     assert one(spark, path, T.suffix(F.col("x"))) == suffix
 
 
-@pytest.mark.parametrize(("value", "want"), [(' "None" ', None), ("N/A", None), ("null", None), ("", None), (None, None), (" 'Rice' ", "Rice"), ("none of it", "none of it")])
+@pytest.mark.parametrize(("value", "want"), [(' "None" ', None), ("N/A", None), ("null", None), ("", None), (None, None), (' "Rice" ', "Rice"), (" 'Rice' ", "'Rice'"), ("'None'", "'None'"), ('" none "', None), ("none of it", "none of it")])
 def test_clean_null(spark, value, want):
     assert one(spark, value, T.clean_null(F.col("x"))) == want
 
@@ -44,6 +44,24 @@ def test_restricted_needs_word_bounds(spark):
     assert one(spark, None, T.is_restricted(F.col("x"))) is False
 
 
+@pytest.mark.parametrize(("value", "want"), [("under embargo until May", True), ("EMBARGOED", True), ("For official  use only", True), ("not\u00a0 for\ndistribution", True), ("Not for public viewing", True), ("do not distribute", True), ("RESTRICTED", True), ("proprietary", False), ("do not copy", False), ("unrestricted", False)])
+def test_restricted_phrases(spark, value, want):
+    assert one(spark, value, T.is_restricted(F.col("x"))) is want
+
+
+@pytest.mark.parametrize(("value", "want"), [("Books", "Books"), ("Thesis/Dissertations", "Thesis/Dissertations"), ("Technical Reports", "Technical Reports"), ("Investigatory Projects", "Investigatory Projects"), ("Vertical Files", "Vertical Files"), ("Non-Prints", "Non-Prints"), ("Serials", "Serials"), ("Maps", "Books"), (None, "Books")])
+def test_types(spark, value, want):
+    assert one(spark, value, T.known_type(F.col("x"))) == want
+
+
+def test_y_is_no_vowel(spark):
+    assert one(spark, "rhythm rice myth", T.garble(F.col("x"))["vowelless"]) == 2
+
+
+def test_let_computes_once(spark):
+    assert one(spark, " ab ", T.let(T.strip(F.col("x")), lambda t: F.concat(t, t))) == "abab"
+
+
 def test_garble_bounds(spark):
     keep = T.garble(F.col("x"))["keep"]
     bad, good = "xkcd", "rice"
