@@ -103,7 +103,7 @@ def test_char_windows_are_as_cut(spark):
 
 
 def test_separators_of_plain_and_headed_texts():
-    assert C.split_recursively("one two; three four", 10, 0, length=len) == ["one two;", "three four"]
+    assert C.split_recursively("one two; three four", 10, 0, length=len) == ["one two;", "three", "four"]
     text = "aaaa bbbb\n## cccc dddd"
     assert C.split_recursively(text, 13, 0, length=len, separators=C.HEADED_SEPARATORS) == ["aaaa bbbb", "## cccc dddd"]
 
