@@ -1,33 +1,34 @@
-"""Candidate pairs from hash buckets, with hot buckets cut into blocks."""
+"""Candidate pairs from hash buckets, with hot buckets cut into blocks, and filters of fixed size for keys."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamplight.llm.words import mix
 from lamplight.session import materialize
 
-PAIRS = "a long, b long, xs array<long>, ys array<long>"
+PAIRS = "a long, b long, bucket long, part int, parts int, ids array<long>"
+_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("ids", pa.list_(pa.int64()))])
 
 
 def _pairs_of_sorted(block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key, id. Small buckets give pairs a < b, large ones pairs of blocks of ids (xs, ys)."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("xs", pa.list_(pa.int64())), ("ys", pa.list_(pa.int64()))])
+    """Rows come sorted by key, id. Small buckets give pairs a < b, large ones their ids in blocks (bucket, part, parts, ids)."""
 
     def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(len(a), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), none, none], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *(pa.nulls(len(a), f.type) for f in list(_SCHEMA)[2:])], schema=_SCHEMA)
 
-    def bucket(ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        blocks = [ids[i : i + block] for i in range(0, len(ids), block)]
-        for i, x in enumerate(blocks):
-            for y in blocks[i:]:
-                none = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, pa.array([x], pa.list_(pa.int64())), pa.array([y], pa.list_(pa.int64()))], schema=schema)
+    def bucket(key: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        starts = range(0, len(ids), block)
+        for n, i in enumerate(starts):
+            none = pa.nulls(1, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, pa.array([key]), pa.array([n], pa.int32()), pa.array([len(starts)], pa.int32()), pa.array([ids[i : i + block]], pa.list_(pa.int64()))], schema=_SCHEMA)
 
     def emit(key: np.ndarray, one: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(key):
@@ -37,7 +38,7 @@ def _pairs_of_sorted(block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
         size = np.diff(edge)
         for i in np.flatnonzero(size > block):
-            yield from bucket(one[edge[i] : edge[i + 1]])
+            yield from bucket(int(key[edge[i]]), one[edge[i] : edge[i + 1]])
         cold = np.repeat((size > 1) & (size <= block), size)
         key, one = key[cold], one[cold]
         for gap in range(1, len(key)):
@@ -46,27 +47,78 @@ def _pairs_of_sorted(block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
                 break
             yield out(one[:-gap][same], one[gap:][same])
 
-    rest_key, rest_id = np.empty(0, np.int64), np.empty(0, np.int64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []  # the bucket that may go on in the next batch
     for batch in batches:
-        key = np.concatenate([rest_key, batch.column(0).to_numpy(zero_copy_only=False)])
-        one = np.concatenate([rest_id, batch.column(1).to_numpy(zero_copy_only=False)])
+        key, one = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(2))
         if not len(key):
             continue
-        last = np.searchsorted(key, key[-1])
-        yield from emit(key[:last], one[:last])
-        rest_key, rest_id = key[last:], one[last:]
-    yield from emit(rest_key, rest_id)
+        if waiting and waiting[0][0][0] != key[-1]:
+            first = int(np.searchsorted(key, key[-1]))
+            waiting.append((key[:first], one[:first]))
+            yield from emit(*map(np.concatenate, zip(*waiting, strict=True)))
+            waiting = [(key[first:], one[first:])]
+        elif not waiting:
+            first = int(np.searchsorted(key, key[-1]))
+            yield from emit(key[:first], one[:first])
+            waiting = [(key[first:], one[first:])]
+        else:
+            waiting.append((key, one))
+    if waiting:
+        yield from emit(*map(np.concatenate, zip(*waiting, strict=True)))
+
+
+def pairs_of_blocks(hot: DataFrame, columns: list[str]) -> DataFrame:
+    """(xs, ys) of every two blocks of one bucket, a block with itself included, as structs of `columns`; hot has bucket, part, parts and these.
+
+    Each block is sent to its partners by a row for each, and blocks are spread before that, so the work of a hot bucket falls to all tasks.
+    """
+    each = hot.repartition(F.xxhash64("bucket", "part")).select("bucket", "part", F.struct(*columns).alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with"))
+    met = each.groupBy("bucket", F.least("part", "with").alias("lo"), F.greatest("part", "with").alias("hi")).agg(F.sort_array(F.collect_list(F.struct("part", "x"))).alias("both"))
+    return met.select(F.get("both", F.lit(0))["x"].alias("xs"), F.element_at("both", -1)["x"].alias("ys"))
 
 
 def candidate_pairs(rows: DataFrame, name: str, block: int = 512) -> DataFrame:
     """The distinct pairs (a < b) of ids that share a bucket in rows(key long, id long).
 
     One shuffle by key; ids of a bucket are streamed in order, so that a bucket takes eight bytes an id. A bucket of more
-    than `block` ids leaves as pairs of blocks, which are spread over all tasks before they are multiplied out: no task
+    than `block` ids leaves as blocks of ids, which meet each other and are multiplied out spread over all tasks: no task
     holds more than block * block pairs at a time, and no pair is left out. An empty table gives no pairs.
     """
     ordered = rows.select("key", "id").repartition("key").sortWithinPartitions("key", "id")
-    found = materialize(ordered.mapInArrow(lambda it: _pairs_of_sorted(block, it), PAIRS), name)
-    hot = found.where("xs is not null").select("xs", "ys").repartition(F.hash("xs", "ys"))
-    hot = hot.select(F.explode("xs").alias("a"), "ys").select("a", F.explode("ys").alias("b")).where("a < b")
+    found = materialize(ordered.mapInArrow(partial(_pairs_of_sorted, block), PAIRS), name)
+    hot = pairs_of_blocks(found.where("ids is not null"), ["ids"])
+    hot = hot.select(F.explode("xs.ids").alias("a"), F.col("ys.ids").alias("y")).select("a", F.explode("y").alias("b")).where("a < b")
     return found.where("a is not null").select("a", "b").unionByName(hot).distinct()
+
+
+#: Bits of a key filter, at most: 32 MB. Beyond some thirty million keys it lets ever more strangers pass, and never keeps a key out.
+FILTER_BITS = 1 << 28
+
+
+def _filter_words(bits: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    mine = np.zeros(bits // 64, np.uint64)
+    for batch in it:
+        place = mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) & np.uint64(bits - 1)
+        np.bitwise_or.at(mine, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    at = np.flatnonzero(mine)
+    for i in range(0, len(at), 100_000):
+        some = at[i : i + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(mine[some].view(np.int64))], ["word", "bits"])
+
+
+def key_filter(keys: DataFrame, count: int) -> Broadcast:
+    """A broadcast bitmap for may_be_in(): every one of the `count` keys (one long column) is in it, and few others.
+
+    Its size follows count up to FILTER_BITS, which bounds what's sent to the driver and to the executors.
+    """
+    bits = min(FILTER_BITS, 1 << max(16, int(8 * count - 1).bit_length()))
+    words = keys.mapInArrow(partial(_filter_words, bits), "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.uint64)
+    bitmap[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def may_be_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Of each unsigned key, whether the filter lets it pass."""
+    place = mix(keys) & np.uint64(64 * len(bitmap) - 1)
+    return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1

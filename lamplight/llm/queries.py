@@ -21,14 +21,23 @@ def _stems(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "research").where("catalog_id is null and stem is not null").select("stem", F.col("stem").alias("spelling")).distinct()
 
 
+#: Copies of one text that p1_found multiplies out to pairs; a larger group comes as a star around its least row_id.
+EXPAND = 200
+
+
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    texts = NearDuplicates(table(spark, d, "research"), "row_id", "text").record_pairs().select(F.lit("text").alias("field"), "key_a", "key_b")
-    stems = NearDuplicates(_stems(spark, d), "stem", "spelling", **STEM_OPTIONS).record_pairs().select(F.lit("stem").alias("field"), "key_a", "key_b")
+    texts = NearDuplicates(table(spark, d, "research"), "row_id", "text").record_pairs(EXPAND).select(F.lit("text").alias("field"), "key_a", "key_b")
+    stems = NearDuplicates(_stems(spark, d), "stem", "spelling", **STEM_OPTIONS).record_pairs(EXPAND).select(F.lit("stem").alias("field"), "key_a", "key_b")
     return texts.unionByName(stems)
 
 
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """Every two near classes of texts by their least row_id, with Jaccard and edit similarity; the same whatever the size of a class."""
+    return NearDuplicates(table(spark, d, "research"), "row_id", "text", name="omh-links").representative_pairs()
+
+
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
-    """One row a record: its class and its links, at five-word shingles and similarity 0.8; shorter texts have no links."""
+    """One row a record: its class, the class's size and its links, at five-word shingles and similarity 0.8; shorter texts have no links."""
     return near_duplicate_records(table(spark, d, "research"), "row_id", "text", every=True, shingle=5, threshold=0.8, least=5, name="omh-records")
 
 
@@ -97,7 +106,7 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return english_prose(p8_levels(spark, d).withColumnRenamed("doc_id", "id")).select(F.col("id").alias("doc_id"), "band")
 
 
-QUERIES = {"p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p4_nearest": p4_nearest, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
+QUERIES = {"p1_found": p1_found, "p1_links": p1_links, "p1_records": p1_records, "p3_found": p3_found, "p3_statistics": p3_statistics, "p3_profile": p3_profile, "p4_found": p4_found, "p4_nearest": p4_nearest, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_ids": p6_ids, "p7_found": p7_found, "p7_edited": p7_edited, "p8_found": p8_found, "p8_levels": p8_levels}
 def _near_sql(rows: str, units: str, least: int) -> str:
     """Pairs of rows(key, text) whose distinct sequences of three units (SQL list of t) have a Jaccard similarity of 0.5 or more."""
     return f"""

@@ -61,7 +61,7 @@ def brute(texts, k, threshold, least):
 def test_pairs_equal_brute_force(spark):
     texts = make()
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
-    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs().collect()}
+    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs(200).collect()}
     want = brute(texts, 3, 0.5, 20)
     assert got <= want
     assert len(got) >= 0.98 * len(want)
@@ -71,16 +71,16 @@ def test_characters(spark):
     stems = ["Dalsivayara_Contamina_1983", "dalsivayara contamina 1983", "Rice_Vol3", "Unlike", "ab", ""]
     df = spark.createDataFrame([(s, s) for s in stems], "stem string, spelling string")
     op = NearDuplicates(df, "stem", "spelling", unit="char", least=3, k=3, sample=3, tables=96)
-    assert {(r.key_a, r.key_b) for r in op.record_pairs().collect()} == {(stems[0], stems[1])}
+    assert {(r.key_a, r.key_b) for r in op.record_pairs(200).collect()} == {(stems[0], stems[1])}
 
 
 def test_edges(spark):
     long = " ".join(f"x{i}" for i in range(60_000))
     rows = [(1, None, 0), (2, "", 0), (3, long, 0), (4, long + " end", 0), (5, "too short", 0), (3, long, 0), (None, long, 0)]
     df = spark.createDataFrame(rows, "id int, text string, cls int")
-    assert {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs().collect()} == {(3, 4)}
+    assert {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs(200).collect()} == {(3, 4)}
     assert sorted((r.id, r.links) for r in near_duplicate_records(df, "id", "text").collect()) == [(3, 1), (4, 1)]
-    assert NearDuplicates(df.where("false"), "id", "text").record_pairs().count() == 0
+    assert NearDuplicates(df.where("false"), "id", "text").record_pairs(200).count() == 0
 
 
 def test_hot_group_of_copies_is_one_class(spark):
@@ -94,7 +94,7 @@ def test_hot_group_of_copies_is_one_class(spark):
 def test_hot_copies_are_a_star(spark):
     text = " ".join(f"y{i}" for i in range(40))
     df = spark.createDataFrame([(i, text) for i in range(300)] + [(900, text + " more"), (901, text + " more")], "id int, text string")
-    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs().collect()}
+    got = {(r.key_a, r.key_b) for r in NearDuplicates(df, "id", "text").record_pairs(200).collect()}
     assert got == {(0, i) for i in range(1, 300)} | {(0, 900), (0, 901), (900, 901)}
 
 
@@ -116,3 +116,47 @@ def test_records_have_one_row_each(spark, tmp_path):
     assert cls["a"] == cls["k"] and cls["c"] == cls["d"] and cls["l"] == cls["m"]
     assert len(set(cls.values())) == 10
     assert {i for i in links if links[i]} == {"a", "b", "k"} and links["b"] == 1
+
+
+def test_members_and_links_of_any_size(spark):
+    text = " ".join(f"y{i}" for i in range(40))
+    rows = [(i, text) for i in range(50)] + [(900, text + " more"), (901, text + " more"), (902, " ".join(f"z{i}" for i in range(40)))]
+    op = NearDuplicates(spark.createDataFrame(rows, "id int, text string"), "id", "text")
+    assert {(r.representative, r.copies) for r in op.members().collect()} == {(0, 50), (900, 2), (902, 1)}
+    (pair,) = op.representative_pairs().collect()
+    assert (pair.key_a, pair.key_b) == (0, 900)
+    assert abs(pair.similarity - 38 / 39) < 1e-9 and abs(pair.edit_similarity - 40 / 41) < 1e-9
+    assert op.record_pairs(10).count() == 49 + 2 + 1  # a star of 50, its centre with two copies, and these
+    assert op.record_pairs(50).count() == 50 * 49 // 2 + 50 * 2 + 1
+
+
+def test_edit_similarity_is_null_beyond_the_band(spark):
+    words = [f"w{i}" for i in range(120)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[60:] + words[:60]))], "id int, text string")
+    (pair,) = NearDuplicates(df, "id", "text").representative_pairs().collect()
+    assert pair.similarity > 0.9 and pair.edit_similarity is None
+
+
+def test_places_are_told_apart_in_very_long_texts():
+    from lamplight.llm.order_minhash import sketch_keys
+
+    import numpy as np
+
+    n = 1_200_000
+    h = W.mix(np.arange(n, dtype=np.uint64))
+    turned = np.concatenate([h[n // 2 :], h[: n // 2]])
+    keys = [sketch_keys(x, np.array([0, n]), 4, 2, 12) for x in (h, turned)]
+    assert 0 < (keys[0] == keys[1]).sum() < 12  # samples of both halves change their order
+
+
+def test_key_filter(spark):
+    import numpy as np
+
+    from lamplight.llm.lsh import key_filter, may_be_in
+
+    keys = spark.range(5000).selectExpr("xxhash64(id) as k")
+    bitmap = key_filter(keys, 5000).value
+    have = np.array([r.k for r in keys.collect()], np.int64).view(np.uint64)
+    assert may_be_in(bitmap, have).all()
+    assert may_be_in(bitmap, W.mix(np.arange(10_000, dtype=np.uint64))).mean() < 0.2
+    assert not may_be_in(key_filter(keys.limit(0), 0).value, have).any()
