@@ -86,15 +86,18 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_corpus(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
 
 
+def _leaks(spark: SparkSession, d: str, edits: int, **options) -> DataFrame:
+    return find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_cases"), "case_id", ["query", "passage"], edits=edits, **options).withColumnRenamed("id", "doc_id")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    cases = table(spark, d, "eval_cases")
-    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"]).select(F.col("id").alias("doc_id"), "case_id")
+    """Of the leaks with up to one edit those that hold twelve words unchanged."""
+    return _leaks(spark, d, 1).where("edits = 0").select("doc_id", "case_id")
 
 
 def p7_edited(spark: SparkSession, d: str) -> DataFrame:
     """Leaks with up to two word edits between windows of twelve words: one or two words replaced, or one inserted or dropped."""
-    cases = table(spark, d, "eval_cases")
-    return find_leaks(table(spark, d, "documents"), "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=0).withColumnRenamed("id", "doc_id")
+    return _leaks(spark, d, 2, name="leaks-edited")
 
 
 def p8_levels(spark: SparkSession, d: str) -> DataFrame:

@@ -6,6 +6,7 @@ from lamplight.llm.leakage import edit_distances, find_leaks
 from lamplight.llm.queries import QUERIES
 
 import numpy as np
+import pytest
 
 
 def corpus(spark, edits, n=200, seed=5):
@@ -34,19 +35,44 @@ def grams(t):
     return set(zip(*(w[j:] for j in range(12)), strict=False)) if len(w) >= 12 else set()
 
 
-def test_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "ITEM_WINDOWS", 500)  # several blocks of items
+def leaks(df, cases, **options):
+    return find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"], **options)
+
+
+def test_exact_passages_equal_brute_force(spark):
     df, cases, docs, items, _ = corpus(spark, 0)
-    got = {(r.id, r.case_id) for r in find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"]).collect()}
+    got = {(r.id, r.case_id) for r in leaks(df, cases).where("edits = 0").collect()}
     assert got == {(i, c) for i, t in docs for c, q, p in items if grams(t) & (grams(q) | grams(p))}
 
 
-def test_edited_passages(spark):
-    df, cases, _, _, planted = corpus(spark, 1)
-    found = find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=12, sample=4)
-    got = {(r.id, r.case_id) for r in found.collect()}
-    assert len(got & planted) >= 0.9 * len(planted)
-    assert all(0 < r.edits <= 2 for r in found.collect() if (r.id, r.case_id) in planted)
+def test_join_of_keys_equals_the_scan(spark, monkeypatch):
+    df, cases, *_ = corpus(spark, 1)
+    want = {tuple(r) for r in leaks(df, cases, edits=2).collect()}
+    monkeypatch.setattr(leakage, "ITEM_WINDOWS", 50)
+    assert {tuple(r) for r in leaks(df, cases, edits=2).collect()} == want
+    assert leaks(df.where("false"), cases, edits=2).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    df, cases, *_ = corpus(spark, 0, n=20)
+    named = leaks(df.selectExpr("concat('d', doc_id) as doc_id", "text"), cases.selectExpr("concat('c', case_id) as case_id", "query", "passage"))
+    assert {(r.id, r.case_id) for r in named.collect()} == {(f"d{r.id}", f"c{r.case_id}") for r in leaks(df, cases).collect()}
+
+
+def test_repetitions_follow_the_recall():
+    assert leakage.repetitions(12, 0, 6, 0.95) == 1
+    few, more, two = leakage.repetitions(12, 1, 6, 0.8), leakage.repetitions(12, 1, 6, 0.98), leakage.repetitions(12, 2, 6, 0.98)
+    assert 1 < few < more < two <= leakage.MOST_REPEATS
+    with pytest.raises(ValueError, match="repetitions"):
+        leakage.repetitions(12, 2, 16, 0.9999)
+
+
+def test_recall_reaches_its_target_against_brute_force(spark):
+    for edits in (1, 2):
+        df, cases, *_ = corpus(spark, edits, n=400)
+        want = {(r.id, r.case_id) for r in leaks(df, cases, edits=edits, recall=1).collect()}
+        got = {(r.id, r.case_id) for r in leaks(df, cases, edits=edits).collect()}
+        assert got <= want and len(got) >= 0.95 * len(want)
 
 
 def _one_edit(rng, lexicon, words, kind):
@@ -57,7 +83,7 @@ def _one_edit(rng, lexicon, words, kind):
     return piece[:place] + (["zz"] if kind != "drop" else []) + piece[place + (kind != "insert") :]
 
 
-def test_production_finds_every_edited_passage(spark, tmp_path):
+def test_production_finds_edited_passages(spark, tmp_path):
     rng = random.Random(11)
     lexicon = [f"w{i}" for i in range(300)]
     items = [(c, " ".join(rng.choice(lexicon) for _ in range(20)), " ".join(rng.choice(lexicon) for _ in range(40))) for c in range(20)]
@@ -73,13 +99,15 @@ def test_production_finds_every_edited_passage(spark, tmp_path):
     spark.createDataFrame(items, "case_id long, query string, passage string").write.parquet(f"{tmp_path}/eval_cases.parquet")
     rows = QUERIES["p7_edited"](spark, str(tmp_path)).collect()
     got = {(r.doc_id, r.case_id) for r in rows}
-    assert {k for k in planted if k not in got} == set()
+    for kind in ("replace", "insert", "drop"):
+        mine = {k for k in planted if planted[k] == kind}
+        assert len(mine & got) >= 0.95 * len(mine)
     assert all(0 < r.edits <= 2 for r in rows)
 
 
 def test_pieces_equal_brute_force(spark):
     df, cases, docs, items, _ = corpus(spark, 2, n=60)
-    got = {(r.id, r.case_id): (r.edits, r.windows) for r in find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, repeats=0).collect()}
+    got = {(r.id, r.case_id): (r.edits, r.windows) for r in find_leaks(df, "doc_id", "text", cases, "case_id", ["query", "passage"], edits=2, recall=1).collect()}
     code = {}
     windows = lambda t: [[code.setdefault(x, len(code)) for x in w] for w in _windows(t)]
     want = {}
