@@ -1,9 +1,9 @@
 """The most similar vectors of every vector: multiprobe p-stable hashing, then exact reranking.
 
-A table hashes a unit vector by m random projections cut into cells of one width (Datar et al. 2004). Besides its own cell a vector
-visits, in each table, the cells it would fall into by the likeliest small displacements: those across the nearest cell borders
-(Lv et al. 2007), in order of estimated success. Rows carry the vector at four bits a dimension, so a bucket discards what is out
-of reach by itself, and only pairs that pass go on to the exact cosine.
+A table hashes a unit vector by m random projections cut into cells of one width (Datar et al. 2004). Besides its own cells a vector
+visits in each table the cells it would fall into by the likeliest small displacements (Lv et al. 2007), in the order of their estimated
+success for this vector: the fewer and nearer the cell borders that are crossed, the likelier. Rows carry a sketch of the vector at four bits a dimension, at most SKETCH of them, so a bucket discards what is out of reach by itself, and only pairs that
+pass go on to the exact cosine.
 """
 
 from __future__ import annotations
@@ -16,13 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamplight.llm.lsh import key_filter, may_be_in, pairs_of_blocks
 from lamplight.llm.words import mix
-from lamplight.session import broadcast_if_small, materialize
+from lamplight.session import materialize
 
 #: A perturbation is a set of places in the list of a vector's border crossings, nearest first.
-PROBES = [(), (0,), (1,), (0, 1), (2,), (0, 2), (3,), (1, 2), (0, 3), (4,)]
+PERTURBATIONS = [(0,), (1,), (0, 1), (2,), (0, 2), (3,), (1, 2), (0, 3), (4,)]
+#: Dimensions of a sketch, at most; longer vectors are projected to so many.
+SKETCH = 64
 #: Four bits a dimension: the step between levels, as a share of the standard deviation of a unit vector's coordinates.
-_LEVELS, _SLACK = 0.4, 0.08
+_LEVELS = 0.4
+#: How far a sketch's cosine may lie below the true one: about four standard deviations of the rounding, and of the projection if there's one.
+_SLACK, _PROJECTED_SLACK = 0.08, 0.16
 
 
 def usable_matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,8 +54,21 @@ def _direction_hash(u: np.ndarray) -> np.ndarray:
         return mix((mix(q) * odd).sum(axis=1, dtype=np.uint64)) & ~np.uint64(1)
 
 
+def _projected(u: np.ndarray) -> np.ndarray:
+    """Unit vectors themselves, or if they have more dimensions than a sketch, their projections to so many, at unit length."""
+    if u.shape[1] <= SKETCH:
+        return u
+    x = u @ np.random.default_rng(20240301).normal(size=(u.shape[1], SKETCH))
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def slack(dim: int) -> float:
+    return _SLACK if dim <= SKETCH else _PROJECTED_SLACK
+
+
 def _pack(u: np.ndarray) -> np.ndarray:
-    """Vectors at four bits a dimension, sixteen dimensions a word."""
+    """Sketches at four bits a dimension, sixteen dimensions a word."""
+    u = _projected(u)
     step = _LEVELS / np.sqrt(u.shape[1])
     level = np.clip(np.floor(u / step) + 8, 0, 15).astype(np.uint64)
     level = np.pad(level, ((0, 0), (0, -u.shape[1] % 16)), constant_values=8).reshape(len(u), -1, 16)
@@ -64,27 +82,31 @@ def _unpack(q: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
-def _hashes(u: np.ndarray, m: int, width: float, tables: int, probes: int) -> Iterator[tuple[np.ndarray, bool]]:
-    """For each table and probe: the bucket of each vector, and whether it's a probed one."""
+def _buckets(u: np.ndarray, m: int, width: float, tables: int, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of each vector (rows): in each table its own, then the `probes` likeliest others; and which of them are probed ones."""
     rng = np.random.default_rng(20240229)
+    keys = []
     for t in range(tables):
         x = u @ rng.normal(size=(u.shape[1], m)) / width + rng.random(m)
         weight = mix(np.arange(m, dtype=np.uint64), t + 1) | np.uint64(1)
         cell = np.floor(x)
         part = x - cell
-        order = np.argsort(np.concatenate([part, 1 - part], axis=1), axis=1)[:, :5]
+        border = np.concatenate([part, 1 - part], axis=1)
+        order = np.argsort(border, axis=1)[:, :5]
+        far = np.take_along_axis(border, order, axis=1) ** 2
         with np.errstate(over="ignore"):
             base = (cell.astype(np.int64).astype(np.uint64) * weight).sum(axis=1, dtype=np.uint64) + np.uint64(t + 1)
-            for p in PROBES[:probes]:
-                key = base.copy()
-                for place in p:
-                    o = order[:, place]
-                    key += np.where(o < m, -weight[o % m].astype(np.int64), weight[o % m].astype(np.int64)).astype(np.uint64)
-                yield mix(key), bool(p)
+            move = np.where(order < m, np.uint64(0) - weight[order % m], weight[order % m])
+            others = np.stack([base + move[:, list(p)].sum(axis=1, dtype=np.uint64) for p in PERTURBATIONS], axis=1)
+        likeliest = np.argsort(np.stack([far[:, list(p)].sum(axis=1) for p in PERTURBATIONS], axis=1), axis=1, kind="stable")[:, :probes]
+        keys.append(mix(np.concatenate([base[:, None], np.take_along_axis(others, likeliest, axis=1)], axis=1)))
+    keys = np.concatenate(keys, axis=1)
+    return keys, np.broadcast_to(np.arange(keys.shape[1]) % (keys.shape[1] // tables) > 0, keys.shape)
 
 
-def _rows(what: str, dim: int, m: int, width: float, tables: int, probes: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    signed = lambda x: pa.array(x.astype(np.uint64).view(np.int64))
+def _rows(what: str, dim: int, m: int, width: float, tables: int, probes: int, wanted, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows(id, vector) the 'classes' (id, class), the 'keys' (key, class, sketch), or the 'units', unit vectors of the wanted classes."""
+    signed = lambda x: pa.array(np.ascontiguousarray(x).view(np.int64))
     for batch in it:
         for i in range(0, len(batch), 2048):
             part = batch.slice(i, 2048)
@@ -93,18 +115,24 @@ def _rows(what: str, dim: int, m: int, width: float, tables: int, probes: int, i
                 continue
             cls = _direction_hash(u)
             if what == "classes":
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1, dtype=np.int32) * dim), pa.array(u.ravel().astype(np.float32)))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), signed(cls), flat], ["id", "cls", "unit"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), signed(cls)], ["id", "cls"])
                 continue
             cls, once = np.unique(cls, return_index=True)
+            if what == "units":
+                keep = may_be_in(wanted.value, cls)
+                cls, u = cls[keep], u[once[keep]]
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(u) + 1, dtype=np.int32) * dim), pa.array(u.ravel().astype(np.float32)))
+                yield pa.RecordBatch.from_arrays([signed(cls), flat], ["cls", "unit"])
+                continue
             u = u[once]
             q = _pack(u)
-            for key, probed in _hashes(u, m, width, tables, probes):
-                yield pa.RecordBatch.from_arrays([signed(key), signed(cls | np.uint64(probed)), *(signed(q[:, c]) for c in range(q.shape[1]))], ["key", "id", *(f"q{c}" for c in range(q.shape[1]))])
+            keys, probed = _buckets(u, m, width, tables, probes)
+            each = np.repeat(np.arange(len(u)), keys.shape[1])
+            yield pa.RecordBatch.from_arrays([signed(keys.ravel()), signed(cls[each] | probed.ravel().astype(np.uint64)), *(signed(q[each, c]) for c in range(q.shape[1]))], ["key", "id", *(f"q{c}" for c in range(q.shape[1]))])
 
 
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-BLOCKS = pa.schema([*PAIRS, ("task", pa.int64()), *((c, pa.list_(pa.int64())) for c in ("xs", "xq", "ys", "yq"))])
+BLOCKS = pa.schema([*PAIRS, ("bucket", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("ids", pa.list_(pa.int64())), ("qs", pa.list_(pa.int64()))])
 
 
 def _emit(a: np.ndarray, b: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -128,9 +156,8 @@ def _near_in_blocks(limit: float, schema: pa.Schema, x: np.ndarray, vx: np.ndarr
         yield from _emit(x[p], y[q], schema)
 
 
-def _near_in_buckets(least: float, block: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key, id. The pairs a < b of ids in one bucket that may reach `least`; a bucket of more than `block` ids gives pairs of blocks."""
-    limit = least - _SLACK
+def _near_in_buckets(limit: float, block: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key, id. The pairs a < b of ids in one bucket whose sketches reach the limit; a bucket of more than `block` ids gives its blocks (bucket, part, parts, ids, sketches)."""
     lists = lambda x: pa.array([x.ravel().view(np.int64)], pa.list_(pa.int64()))
 
     def pairs(key: np.ndarray, one: np.ndarray, q: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -155,10 +182,9 @@ def _near_in_buckets(least: float, block: int, it: Iterator[pa.RecordBatch]) ->
                 continue
             starts = range(lo, hi, block)
             for n, i in enumerate(starts):
-                for m, j in enumerate(starts[n:], n):
-                    task = mix(key[lo : lo + 1] + np.uint64(n * len(starts) + m)).view(np.int64)
-                    i_end, j_end = min(i + block, hi), min(j + block, hi)
-                    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array(task), lists(one[i:i_end]), lists(q[i:i_end]), lists(one[j:j_end]), lists(q[j:j_end])], schema=BLOCKS)
+                end = min(i + block, hi)
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(key[lo : lo + 1].view(np.int64)), pa.array([n], pa.int32()), pa.array([len(starts)], pa.int32()), lists(one[i:end]), lists(q[i:end])], schema=BLOCKS)
 
     waiting: list[list[np.ndarray]] = []
     for batch in it:
@@ -181,51 +207,55 @@ def _near_in_buckets(least: float, block: int, it: Iterator[pa.RecordBatch]) ->
         yield from pairs(*map(np.concatenate, zip(*waiting, strict=True)))
 
 
-def _near_in_pairs_of_blocks(least: float, words: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that may reach `least` of each row's two blocks (xs, xq, ys, yq)."""
+def _near_in_pairs_of_blocks(limit: float, words: int, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of each row's two blocks (xs, xq, ys, yq) whose sketches reach the limit."""
     for batch in it:
         for r in range(len(batch)):
             xs, xq, ys, yq = (batch.column(c)[r].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in range(4))
             vx = _unpack(xq.reshape(-1, words))
             if np.array_equal(xs, ys):
-                yield from _near_in_blocks(least - _SLACK, PAIRS, xs, vx, xs, vx)
+                yield from _near_in_blocks(limit, PAIRS, xs, vx, xs, vx)
             else:
-                yield from _near_in_blocks(least - _SLACK, PAIRS, xs, vx, ys, _unpack(yq.reshape(-1, words)))
+                yield from _near_in_blocks(limit, PAIRS, xs, vx, ys, _unpack(yq.reshape(-1, words)))
+
+
+def _cosines(least: float, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pairs(a, b, unit of a, unit of b) those whose cosine, to six places, is `least` or more."""
+    for batch in it:
+        if not len(batch):
+            continue
+        x, y = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1).astype(np.float64) for c in (2, 3))
+        s = np.round(np.einsum("ij,ij->i", x, y), 6)
+        rows = pa.array(np.flatnonzero(s >= least))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(s[s >= least])], ["a", "b", "similarity"])
 
 
-def similar_vectors(df: DataFrame, id_col: str, vector_col: str, *, dim: int, k: int = 10, least: float = 0.85, m: int = 12, width: float = 2.2, tables: int = 6, probes: int = 4, block: int = 4096, name: str = "knn") -> DataFrame:
+def similar_vectors(df: DataFrame, id_col: str, vector_col: str, *, dim: int, k: int = 10, least: float = 0.85, m: int = 12, width: float = 2.2, tables: int = 6, probes: int = 3, block: int = 4096, name: str = "knn") -> DataFrame:
     """(id, other, similarity, place): for each record its k most similar others of cosine `least` or more, places from 1.
 
     Ties in similarity (to six places) go by id. Vectors that are null, empty, of another length than dim, all zero or not finite
     take no part. Vectors of one direction form a class, hashed once a batch; of a class at most k + 1 members, those of least
     id, can be among anybody's k, so hot groups of copies give k rows a record and no more.
 
-    Rows are bucketed by tables * probes keys and shuffled once, at 60 bytes a row. All pairs of a bucket are compared: a bucket of more
-    than `block` vectors leaves as pairs of blocks, which are spread over all tasks, so a hot one takes time that grows with the square
-    of its size, but no pair is left out. Recall is measured in the tests.
-    An empty table gives no rows; ids that repeat count once.
+    Rows are bucketed by tables * (1 + probes) keys and shuffled once, at 16 bytes and a sketch a row, however long the vectors. All pairs
+    of a bucket are compared: one of more than `block` vectors leaves as blocks, which meet each other spread over all tasks, so a hot one
+    takes time that grows with the square of its size, but no pair is left out. The vectors of what's left are found by a filter of
+    fixed size. Recall is measured in the tests. An empty table gives no rows; ids that repeat count once.
     """
-    spark = df.sparkSession
     kind = dict(df.dtypes)[id_col]
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<float>").alias("v")).where("id is not null and v is not null")
-    args = (dim, m, width, tables, probes)
-    words = -(-dim // 16)
-    classes = materialize(rows.mapInArrow(partial(_rows, "classes", *args), f"id {kind}, cls long, unit array<float>"), f"{name}-classes")
-    keys = rows.mapInArrow(partial(_rows, "keys", *args), "key long, id long, " + ", ".join(f"q{c} long" for c in range(words)))
-    blocks = "a long, b long, task long, xs array<long>, xq array<long>, ys array<long>, yq array<long>"
-    found = materialize(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(partial(_near_in_buckets, least, block), blocks), f"{name}-buckets")
-    near, hot = found.where("a is not null").select("a", "b"), found.where("xs is not null")
-    count = hot.count()
-    if count:
-        # A pair of blocks takes up to 16 * (1 + words) * block bytes, so a task has a few.
-        spread = hot.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // 8)), "task").select("xs", "xq", "ys", "yq")
-        near = near.unionByName(spread.mapInArrow(partial(_near_in_pairs_of_blocks, least, words), "a long, b long"))
-    near = near.distinct()
-    near = materialize(near, f"{name}-candidates")
-    wanted = near.select(F.col("a").alias("cls")).unionByName(near.select(F.col("b").alias("cls"))).distinct()
-    units = classes.join(broadcast_if_small(wanted), "cls", "left_semi").select("cls", "unit").dropDuplicates(["cls"])
-    dot = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    exact = near.join(units.select(F.col("cls").alias("a"), F.col("unit").alias("ua")), "a").join(units.select(F.col("cls").alias("b"), F.col("unit").alias("ub")), "b").select("a", "b", F.round(dot, 6).alias("similarity")).where(F.col("similarity") >= least)
+    mapped = lambda what, schema, wanted=None: rows.mapInArrow(partial(_rows, what, dim, m, width, tables, probes, wanted), schema)
+    words, limit = -(-min(dim, SKETCH) // 16), least - slack(dim)
+    classes = materialize(mapped("classes", f"id {kind}, cls long"), f"{name}-classes")
+    keys = mapped("keys", "key long, id long, " + ", ".join(f"q{c} long" for c in range(words)))
+    found = materialize(keys.repartition("key").sortWithinPartitions("key", "id").mapInArrow(partial(_near_in_buckets, limit, block), "a long, b long, bucket long, part int, parts int, ids array<long>, qs array<long>"), f"{name}-buckets")
+    hot = pairs_of_blocks(found.where("ids is not null"), ["ids", "qs"]).select(F.col("xs.ids").alias("xs"), F.col("xs.qs").alias("xq"), F.col("ys.ids").alias("ys"), F.col("ys.qs").alias("yq"))
+    near = found.where("a is not null").select("a", "b").unionByName(hot.mapInArrow(partial(_near_in_pairs_of_blocks, limit, words), "a long, b long"))
+    near = materialize(near.distinct(), f"{name}-candidates")
+    wanted = key_filter(near.select("a").unionByName(near.select(F.col("b").alias("a"))), 2 * near.count())
+    units = materialize(mapped("units", "cls long, unit array<float>", wanted).dropDuplicates(["cls"]), f"{name}-units")
+    both = near.join(units.select(F.col("cls").alias("a"), F.col("unit").alias("ua")), "a").join(units.select(F.col("cls").alias("b"), F.col("unit").alias("ub")), "b")
+    exact = materialize(both.select("a", "b", "ua", "ub").mapInArrow(partial(_cosines, least), "a long, b long, similarity double"), f"{name}-exact")
 
     members = classes.select("id", "cls").distinct()
     few = members.withColumn("n", F.row_number().over(Window.partitionBy("cls").orderBy("id"))).where(F.col("n") <= k + 1).select(F.col("cls").alias("to"), F.col("id").alias("other"))

@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from lamplight.llm.knn import _near_in_buckets, _near_in_pairs_of_blocks, _pack, similar_vectors
+from lamplight.llm.knn import _buckets, _near_in_buckets, _near_in_pairs_of_blocks, _pack, similar_vectors
 from lamplight.llm.queries import QUERIES
 
 NAN = float("nan")
@@ -73,13 +73,38 @@ def test_large_bucket_is_compared_in_full():
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     q = _pack(u).view(np.int64)
     table = pa.table({"key": np.full(9000, -5), "id": np.arange(9000) * 2, **{f"q{c}": q[:, c] for c in range(4)}})
-    found = [b for b in _near_in_buckets(0.85, 4096, iter(table.to_batches(max_chunksize=1000)))]
-    blocks = [b.select(["xs", "xq", "ys", "yq"]) for b in found if b.column("xs").null_count == 0]
-    assert len(blocks) == 6
-    pairs = {(a, b) for p in _near_in_pairs_of_blocks(0.85, 4, iter(blocks)) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
+    found = [b for b in _near_in_buckets(0.77, 4096, iter(table.to_batches(max_chunksize=1000)))]
+    blocks = [b for b in found if b.column("ids").null_count == 0]
+    assert [(b.column("part")[0].as_py(), b.column("parts")[0].as_py(), len(b.column("ids")[0])) for b in blocks] == [(0, 3, 4096), (1, 3, 4096), (2, 3, 808)]
+    met = [pa.RecordBatch.from_arrays([x.column("ids"), x.column("qs"), y.column("ids"), y.column("qs")], ["xs", "xq", "ys", "yq"]) for i, x in enumerate(blocks) for y in blocks[i:]]
+    pairs = {(a, b) for p in _near_in_pairs_of_blocks(0.77, 4, iter(met)) for a, b in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)}
     assert {(2 * i, 2 * (i + 8000)) for i in range(1000)} <= pairs
 
 
+def test_long_vectors_are_sketched(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(400, 300))
+    near = base[:200] / np.linalg.norm(base[:200], axis=1, keepdims=True) + rng.normal(size=(200, 300)) * rng.uniform(0.005, 0.03, size=(200, 1))
+    vectors = np.concatenate([base, near]).astype(np.float32)
+    assert _pack(vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).shape == (600, 4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id int, v array<float>")
+    got = {(r.id, r.other) for r in similar_vectors(df, "id", "v", dim=300).collect()}
+    want = brute(list(range(600)), vectors.astype(float), 10, 0.85)
+    assert got <= want and len(got) >= 0.95 * len(want)
+
+
+def test_probes_are_the_likeliest_of_each_vector():
+    u = np.random.default_rng(1).normal(size=(50, 64))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    own, probed = _buckets(u, 12, 2.2, 6, 0)
+    assert own.shape == (50, 6) and not probed.any()
+    few, more = (_buckets(u, 12, 2.2, 6, n)[0].reshape(50, 6, -1) for n in (2, 5))
+    assert (few == more[:, :, :3]).all() and (few[:, :, 0] == own).all()
+    more = more.reshape(50, -1)
+    moved = _buckets(u + 1e-9, 12, 2.2, 6, 5)[0]
+    assert (moved == more).mean() > 0.9
+
+
 def test_nearest_without_a_floor_equal_brute_force(spark, tmp_path):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(3000, 64)).astype(np.float32)
