@@ -58,18 +58,43 @@ def text_statistics(df: DataFrame, id_col: str, text_col: str, model: np.ndarray
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(partial(_stats, model), f"id {kind}, {STATS}")
 
 
+#: The language of texts whose words are of none: they're judged by the profile of the whole corpus.
+UNDETERMINED = "und"
+
+
+def _sketches(k: int) -> list[Column]:
+    return [F.count("*").alias("documents"), *(F.kll_sketch_agg_double(m, k).alias(m) for m in MEASURES)]
+
+
+def _quantiles(sketches: DataFrame) -> DataFrame:
+    q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
+    return sketches.select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
+
+
 def profile(stats: DataFrame, k: int = 400) -> DataFrame:
-    """By language: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
+    """By language, and in all as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
 
     The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread. Texts without a word are left out.
     """
-    sketches = stats.where("words > 0").groupBy("lang").agg(F.count("*").alias("documents"), *(F.kll_sketch_agg_double(m, k).alias(m) for m in MEASURES))
-    q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
-    return sketches.select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
+    some = stats.where("words > 0")
+    each = some.where(F.col("lang") != UNDETERMINED).groupBy("lang").agg(*_sketches(k))
+    whole = some.agg(*_sketches(k)).where("documents > 0").select(F.lit(UNDETERMINED).alias("lang"), "documents", *MEASURES)
+    return _quantiles(each.unionByName(whole))
+
+
+def with_languages(stats: DataFrame, k: int = 400) -> DataFrame:
+    """stats whose lang is UNDETERMINED where the share of the likeliest language's common words is under half of the corpus' median share.
+
+    Otherwise unreadable text, which has a few such words by chance, would make the profile of a language by itself.
+    """
+    median = stats.where("words > 0").agg(F.kll_sketch_agg_double("common_ratio", k).alias("s"), F.count("*").alias("n")).where("n > 0").select(F.kll_sketch_get_quantile_double("s", F.lit(0.5)).alias("usual_share"))
+    rows = stats.join(F.broadcast(median), how="left")  # one row
+    return rows.withColumn("lang", F.when(F.col("common_ratio") >= F.col("usual_share") / 2, F.col("lang")).otherwise(UNDETERMINED)).drop("usual_share")
 
 
 def scored(stats: DataFrame, k: int = 400) -> DataFrame:
     """The statistics with a robust z-score z_<name> of each, against the profile of the text's language (a few rows, broadcast)."""
+    stats = with_languages(stats, k)
     p = profile(stats, k)
     z = [((F.col(m) - F.col(f"{m}_median")) / F.col(f"{m}_spread")).alias(f"z_{m}") for m in MEASURES]
     return stats.join(F.broadcast(p), "lang", "left").select(*stats.columns, *z)
@@ -78,24 +103,25 @@ def scored(stats: DataFrame, k: int = 400) -> DataFrame:
 def kind_of(tail: float = 3.5) -> Column:
     """'prose', 'list', 'table' or 'junk' of a row of scored(); null where there are no solid characters.
 
-    Text is junk if it's mostly lines to fill in, or if few of its words are common and its character sequences lie in the lower tail or
-    its symbols or characters beyond ASCII in the upper one; a table if most of it stands in rows of cells and few words are common; a
-    list if most of it stands in short entries and its share of common words is low, if not in the tail, or its lines hardly ever end a sentence.
+    What most of a text is (lines to fill in, cells, short entries) tells the kinds apart, so their shares are compared with fixed ones; how far a text
+    must be from the corpus' prose is a matter of the tails of its language's distributions. Text is junk if it's mostly lines to fill in, or if few of its
+    words are common and its character sequences lie in the lower tail or its symbols in the upper one, or its characters beyond ASCII lie far up there; a table if
+    most of it stands in rows of cells and few words are common; a list if most of it stands in short entries and its share of common words is low, if
+    not in the tail, the more so the fewer of its lines end a sentence.
     """
-    few_common = (F.col("z_common_ratio") < -tail) | (F.col("common_ratio") < 0.12)
-    low_common = F.col("z_common_ratio") < -tail / 2
-    odd = (F.col("z_sequence_score") < -2 * tail) & few_common
-    strange = low_common & (((F.col("z_symbol_ratio") > tail) & (F.col("symbol_ratio") > 0.4)) | ((F.col("z_foreign_ratio") > tail) & (F.col("foreign_ratio") > 0.3)))
-    junk = strange | (low_common & (F.col("z_sequence_score") < -5 * tail) & (F.col("cell_ratio") < 0.5)) | (odd & (F.col("cell_ratio") < 0.5) & (F.col("entry_ratio") < 0.5))
+    z, share = (lambda m: F.col(f"z_{m}")), F.col
+    few_common, low_common, hardly_any = (z("common_ratio") < -x * tail for x in (1, 0.5, 1.4))
+    odd = (z("sequence_score") < -2 * tail) & few_common
+    strange = (z("foreign_ratio") > 20 * tail) | (low_common & (z("symbol_ratio") > 20 * tail))
+    junk = strange | (low_common & (z("sequence_score") < -5 * tail) & (share("cell_ratio") < 0.5)) | (odd & (share("cell_ratio") < 0.5) & (share("entry_ratio") < 0.5))
     return (
         F.when(F.col("chars") == 0, F.lit(None))
-        .when((F.col("form_ratio") >= 0.5) | junk, "junk")
-        .when((F.col("cell_ratio") >= 0.5) & few_common, "table")
-        .when((F.col("entry_ratio") >= 0.6) & low_common, "list")
-        .when((F.col("entry_ratio") >= 0.85) & (F.col("common_ratio") < 0.16), "list")
-        .when((F.col("entry_ratio") >= 0.6) & (F.col("line_end_ratio") < 0.15) & (F.col("common_ratio") < 0.205), "list")
-        .when(few_common & (F.col("cell_ratio") >= F.col("entry_ratio")) & (F.col("cell_ratio") >= 0.35), "table")
-        .when(few_common & (F.col("entry_ratio") >= 0.35), "list")
+        .when((share("form_ratio") >= 0.5) | junk, "junk")
+        .when((share("cell_ratio") >= 0.5) & few_common, "table")
+        .when((share("entry_ratio") >= 0.6) & (z("common_ratio") < -0.8 * tail), "list")
+        .when((share("entry_ratio") >= 0.6) & (z("common_ratio") < -0.65 * tail) & (share("line_end_ratio") < 0.15), "list")
+        .when(hardly_any & (share("cell_ratio") >= share("entry_ratio")) & (share("cell_ratio") >= 0.35), "table")
+        .when(hardly_any & (share("entry_ratio") >= 0.35), "list")
         .when(odd, "junk")
         .otherwise("prose")
     )

@@ -44,5 +44,16 @@ def test_statistics_by_hand():
 def test_profile_by_language(spark):
     rows = [(i, prose(i)) for i in range(20)] + [(50 + i, "El precio de la cosecha fue mayor que en los otros años y los socios de la zona lo vendieron con su ayuda.") for i in range(20)] + [(99, None)]
     p = {r.lang: r for r in profile(text_statistics(spark.createDataFrame(rows, "id int, text string"), "id", "text")).collect()}
-    assert set(p) == {"en", "es"}
-    assert p["en"].documents == 20 and p["en"].words_median > 40
+    assert set(p) == {"en", "es", "und"}
+    assert p["und"].documents == 40 and p["en"].documents == 20 and p["en"].words_median > 40
+
+
+def test_unreadable_text_makes_no_language_of_its_own(spark):
+    """Letters at random hold a French or Spanish word now and then; such texts must not be each other's measure."""
+    rng = random.Random(4)
+    noise = [" ".join("".join(rng.choice("aelnsudt01|!") for _ in range(rng.randint(1, 4))) for _ in range(90)) for _ in range(40)]
+    rows = [(i, prose(i)) for i in range(60)] + [(100 + i, t) for i, t in enumerate(noise)] + [(200, "Ã©â€™°n tÂ€ " * 20)]
+    got = text_kinds(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect()
+    assert {r.kind for r in got if r.id < 100} == {"prose"}
+    assert {r.lang for r in got if 100 <= r.id < 200} == {"und"}
+    assert {r.kind for r in got if r.id >= 100} == {"junk"}
