@@ -58,7 +58,7 @@ def text_statistics(df: DataFrame, id_col: str, text_col: str, model: np.ndarray
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(partial(_stats, model), f"id {kind}, {STATS}")
 
 
-#: The language of texts whose words are of none: they're judged by the profile of the whole corpus.
+#: The language of texts whose words are of none: they're judged by the profile of all texts whose words are of some.
 UNDETERMINED = "und"
 
 
@@ -72,12 +72,12 @@ def _quantiles(sketches: DataFrame) -> DataFrame:
 
 
 def profile(stats: DataFrame, k: int = 400) -> DataFrame:
-    """By language, and in all as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
+    """By language, and for all languages together as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
 
     The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread. Texts without a word are left out.
     """
-    some = stats.where("words > 0")
-    each = some.where(F.col("lang") != UNDETERMINED).groupBy("lang").agg(*_sketches(k))
+    some = stats.where((F.col("words") > 0) & (F.col("lang") != UNDETERMINED))
+    each = some.groupBy("lang").agg(*_sketches(k))
     whole = some.agg(*_sketches(k)).where("documents > 0").select(F.lit(UNDETERMINED).alias("lang"), "documents", *MEASURES)
     return _quantiles(each.unionByName(whole))
 

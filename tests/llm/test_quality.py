@@ -51,7 +51,7 @@ def test_profile_by_language(spark):
 def test_unreadable_text_makes_no_language_of_its_own(spark):
     """Letters at random hold a French or Spanish word now and then; such texts must not be each other's measure."""
     rng = random.Random(4)
-    noise = [" ".join("".join(rng.choice("aelnsudt01|!") for _ in range(rng.randint(1, 4))) for _ in range(90)) for _ in range(40)]
+    noise = [" ".join("".join(rng.choice("aelnsudt01|!") for _ in range(rng.randint(1, 4))) for _ in range(90)) for _ in range(12)]
     rows = [(i, prose(i)) for i in range(60)] + [(100 + i, t) for i, t in enumerate(noise)] + [(200, "Ã©â€™°n tÂ€ " * 20)]
     got = text_kinds(spark.createDataFrame(rows, "id int, text string"), "id", "text").collect()
     assert {r.kind for r in got if r.id < 100} == {"prose"}
