@@ -69,6 +69,21 @@ def systematic_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
     return within.join(F.broadcast(chosen), ["_part", "_n"], "left_semi").select(*df.columns)
 
 
+def numbered_rows(df: DataFrame, order: list[str], start: int = 1) -> DataFrame:
+    """df with n, the rows' numbers in the given order from `start`: sorted by range, numbered within each partition, and shifted by the counts of those before.
+
+    One count a partition reaches the driver, and no row passes through a single task.
+    """
+    ordered = materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered")
+    at, shift = start, {}
+    for r in sorted(ordered.groupBy("_part").count().collect(), key=lambda r: r._part):
+        shift[r._part] = at
+        at += r["count"]
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    base = F.element_at(F.create_map(*(F.lit(x) for pair in shift.items() for x in pair)), F.col("_part")) if shift else F.lit(start)
+    return ordered.withColumn("n", (within + base).cast("long")).drop("_part")
+
+
 # --- manifest ---------------------------------------------------------------
 
 

@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamplight.functions import text as T
+from lamplight.models import PageParser
 from lamplight.operators.chunking import char_windows
-from lamplight.operators.files import latest
+from lamplight.operators.files import latest, numbered_rows
+from lamplight.operators.tables import replace_pending
+from lamplight.sources.readers import read_documents
 
 MOST_ATTEMPTS = 5
 
@@ -96,6 +99,43 @@ def acknowledge(queue: DataFrame, outcome: DataFrame, now: Column) -> DataFrame:
     )
 
 
+def acknowledged(queue: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """The queue after any number of batches' outcomes(id, error, at, version): one without an error is done, each with one another attempt.
+
+    The error is the newest outcome's, cut to 2,000 characters, and null once a row is done.
+    """
+    error = F.substring("error", 1, 2000)
+    o = outcomes.groupBy("id").agg(F.count_if(F.col("error").isNotNull()).cast("int").alias("_tries"), F.min(F.when(F.col("error").isNull(), F.col("at"))).alias("_done"), F.max_by(error, "version").alias("_error"), F.lit(True).alias("_hit"))
+    joined = queue.join(o, "id", "left")
+    done = F.coalesce("processed_at", "_done")
+    last = F.when(F.col("_hit"), F.when(F.col("_done").isNull(), F.col("_error"))).otherwise(F.col("error"))
+    return joined.withColumns({"processed_at": done, "attempts": F.coalesce("attempts", F.lit(0)) + F.coalesce("_tries", F.lit(0)), "error": last}).select(*queue.columns)
+
+
+def located(rows: DataFrame, media: DataFrame, files: DataFrame, root: str) -> DataFrame:
+    """rows with path, the public path of each catalogue id's newest medium that isn't deleted; null without one, or if files(path) lacks it."""
+    placed = with_latest_media(rows, media).withColumn("path", public_path(F.col("FileLocation"), root)).drop("FileLocation")
+    there = files.select("path").distinct().withColumn("_there", F.lit(True))
+    return placed.join(there, "path", "left").withColumn("path", F.when(F.col("_there"), F.col("path"))).select(*rows.columns, "path")
+
+
+def full_texts(rows: DataFrame, contents: DataFrame, parser: PageParser) -> DataFrame:
+    """(catalog_id, fulltext) of rows(catalog_id, path): the page texts of contents(path, content), joined by line breaks and stripped.
+
+    A record without a path or with a file that can't be read has an empty text.
+    """
+    wanted = rows.where("path is not null").select("path").distinct()
+    return rows.select("catalog_id", "path").join(read_documents(contents.join(wanted, "path", "left_semi"), parser), "path", "left").select("catalog_id", F.coalesce("text", F.lit("")).alias("fulltext"))
+
+
+def enqueued(queue: DataFrame, ids: DataFrame, action: str, reason: str, now: Column, first_id: int) -> DataFrame:
+    """The queue after one new row for each distinct id of ids(catalog_id) replaces that id's pending rows: attempts 0, created now, ids from first_id by catalog_id."""
+    new = ids.where("catalog_id is not null and catalog_id <> 0").select("catalog_id").distinct()
+    numbered = numbered_rows(new, ["catalog_id"], first_id)
+    rows = numbered.select(F.col("n").alias("id"), "catalog_id", F.lit(action).alias("action"), F.lit(reason).alias("reason"), F.lit(0).alias("attempts"), now.alias("created_at"))
+    return replace_pending(queue, rows)
+
+
 def reconcile(view: DataFrame, index: DataFrame) -> DataFrame:
     """(catalog_id, action): published records that aren't indexed to upsert, indexed ones that aren't published to delete."""
     published = live_catalog(view).where("is_published = 1").select("catalog_id").distinct()

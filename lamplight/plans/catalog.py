@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from lamplight.operators import catalog as C
 from lamplight.operators import sync, tables
 from lamplight.operators.chunking import abstract_of
 from lamplight.plans.registry import SPACE, query, strip_sql
-from lamplight.session import materialize, table
+from lamplight.session import table
 
 # The SQL writes every fixed value out itself, so that a wrong one in the operators shows.
 _NULLS = "'none', 'null', 'n/a', 'na', 'unknown', 'not stated', 'not specified'"
@@ -191,16 +193,35 @@ def g_apply_batch(spark, d):
     return after.where("catalog_id is not null").groupBy("catalog_id").agg(F.count("*").alias("chunks"))
 
 
-@query(_APPLIED)
+_DRAINED = _APPLIED.replace("SELECT catalog_id, count(*) AS chunks FROM research", "SELECT 'index' AS part, catalog_id AS key, count(*) AS n FROM research").replace("UNION ALL SELECT catalog_id, n::BIGINT FROM n", "UNION ALL SELECT 'index', catalog_id, n::BIGINT FROM n")
+
+
+@query(f"{_DRAINED} UNION ALL SELECT 'queue', id, CASE WHEN processed_at IS NULL AND coalesce(attempts, 0) < 5 THEN 1 ELSE 0 END + 10 * coalesce(attempts, 0) FROM queue")
 def g_drain_stream(spark, d):
-    """The same by the streaming drain: its index equals the batch's."""
+    """The same by the streaming drain, and what becomes of the queue: every waiting row is done now, without another attempt."""
+    from lamplight.session import shared_folder
     from lamplight.streaming.drain import INDEX, Drain
 
-    columns = [c.strip().split()[0] for c in INDEX.split(",")]
-    start = materialize(table(spark, d, "research").where("catalog_id is not null").select(*columns), "drain-index")
-    path = start.inputFiles()[0].rsplit("/", 1)[0]
-    queue = materialize(table(spark, d, "queue").coalesce(1), "drain-queue")
-    view = materialize(table(spark, d, "view_catalogs"), "drain-view")
-    drain = Drain(spark, lambda: view, path, f"{path}.errors")
-    drain.start(queue.inputFiles()[0].rsplit("/", 1)[0], f"{path}.checkpoint").awaitTermination()
-    return drain.index().where("catalog_id is not null").groupBy("catalog_id").agg(F.count("*").alias("chunks"))
+    root = f"{shared_folder(spark)}/drain-{uuid.uuid4().hex}"
+    columns = [c.split()[0] for c in INDEX.split(", ")]
+    table(spark, d, "research").where("catalog_id is not null").select(*columns).write.parquet(f"{root}/index/base")
+    table(spark, d, "queue").write.parquet(f"{root}/queue")
+    view = table(spark, d, "view_catalogs")
+    drain = Drain(spark, lambda: view, f"{root}/queue", f"{root}/index")
+    drain.start(f"{root}/checkpoint").awaitTermination()
+    chunks = drain.index().groupBy(F.col("catalog_id").alias("key")).agg(F.count("*").alias("n")).select(F.lit("index").alias("part"), "key", "n")
+    before = table(spark, d, "queue").select("id", F.col("processed_at").isNull().alias("waited"))
+    now = drain.queue().join(before, "id").select(F.lit("queue").alias("part"), F.col("id").alias("key"), (F.when(F.col("waited") & F.col("processed_at").isNotNull(), 1).otherwise(0) + 10 * F.col("attempts")).cast("bigint").alias("n"))
+    return chunks.unionByName(now)
+
+
+@query("""
+    WITH m AS (SELECT 1 + meta_id % 200 AS catalog_id, pdf, row_number() OVER (PARTITION BY meta_id % 200 ORDER BY meta_id DESC) AS n FROM metadata WHERE meta_id % 7 <> 0)
+    SELECT v.catalog_id, CASE WHEN m.pdf IN (SELECT path FROM files) THEN '/srv/' || ltrim(m.pdf, '/') END AS path FROM (SELECT catalog_id FROM view_catalogs WHERE deleted_at IS NULL) v LEFT JOIN (SELECT * FROM m WHERE n = 1) m USING (catalog_id)""")
+def g_latest_media(spark, d):
+    """The file of every live record: its newest medium that isn't deleted, by public path, if there is such a file."""
+    deleted = F.when(F.col("meta_id") % 7 == 0, F.current_timestamp())
+    media = table(spark, d, "metadata").select(F.col("meta_id").alias("id"), (1 + F.col("meta_id") % 200).alias("catalog_id"), F.translate("pdf", "/", "\\").alias("FileLocation"), deleted.alias("deleted_at"))
+    files = table(spark, d, "files").select(sync.public_path(F.col("path"), "/srv").alias("path"))
+    live = sync.live_catalog(table(spark, d, "view_catalogs")).select("catalog_id")
+    return sync.located(live, media, files, "/srv")

@@ -50,6 +50,22 @@ def read_pages(files: DataFrame, parser: PageParser) -> DataFrame:
     return files.select("path", "content").mapInPandas(partial(_parse, parser), "path string, page long, text string, error string")
 
 
+def read_documents(files: DataFrame, parser: PageParser) -> DataFrame:
+    """(path, text): each file's page texts joined by line breaks and stripped; an empty text for a file that fails or has none."""
+    return files.select("path", "content").mapInPandas(partial(_whole, parser), "path string, text string")
+
+
+def _whole(parser: PageParser, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for df in it:
+        texts = []
+        for content in df["content"]:
+            try:
+                texts.append("\n".join(t or "" for t in parser(bytes(content))).strip())
+            except Exception:  # noqa: BLE001 - one bad file must not end the job
+                texts.append("")
+        yield pd.DataFrame({"path": df["path"], "text": pd.Series(texts, dtype=object)})
+
+
 def read_triage(spark: SparkSession, path: str, buckets: tuple[str, ...] | None = None) -> DataFrame:
     """A triage CSV; numbers come as text and are parsed, what doesn't parse counts as 0."""
     df = spark.read.schema(TRIAGE).option("header", True).option("multiLine", True).option("escape", '"').csv(path)

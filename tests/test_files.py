@@ -64,3 +64,9 @@ def test_duplicates(spark):
     assert L.redundant_pages(paged, [F.col("id")]).first().redundant_pages == 10 * 1 + 3 * 2
     assert L.redundant_pages(paged.where("id < 0"), [F.col("id")]).first().redundant_pages == 0
     assert L.duplicate_members(df.where("id < 0"), "id", F.col("n"), F.col("t")).count() == 0
+
+
+def test_numbered_rows(spark):
+    df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "k int").repartition(5)
+    assert [(r.k, r.n) for r in L.numbered_rows(df, ["k"], 10).orderBy("k").collect()] == [(i, 10 + i) for i in range(101)]
+    assert L.numbered_rows(df.where("k < 0"), ["k"]).count() == 0

@@ -62,3 +62,28 @@ def test_append_resumes(spark, tmp_path):
     sinks.write_json_lines(spark.range(2), str(tmp_path / "j"))
     sinks.write_json_lines(spark.range(1), str(tmp_path / "j"), append=True)
     assert spark.read.json(str(tmp_path / "j")).count() == 3
+
+
+def test_keyed_texts_versions_and_samples(spark, tmp_path):
+    path = str(tmp_path / "k")
+    sinks.write_texts(spark.createDataFrame([("a", "1"), ("b", "2"), (None, "x")], "stem string, text string"), "stem", "text", path)
+    sinks.write_texts(spark.createDataFrame([("b", "3"), ("c", None)], "stem string, text string"), "stem", "text", path)
+    assert {(r.stem, r.text) for r in sinks.read_keyed(spark, path, "stem").collect()} == {("a", "1"), ("b", "3"), ("c", None)}
+    assert sinks.append_version(spark.range(1), str(tmp_path / "v"), 3) and not sinks.append_version(spark.range(9), str(tmp_path / "v"), 3)
+    assert spark.read.parquet(str(tmp_path / "v")).count() == 1
+    assert sinks.create_if_absent(spark, str(tmp_path / "m"), "path string") and not sinks.create_if_absent(spark, str(tmp_path / "m"), "path string")
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 0
+    rows = spark.createDataFrame([(1, "in/x.pdf", "text", None), (2, "in/y.pdf", None, "ValueError")], "sample_idx int, source string, text string, error string")
+    sinks.write_samples(rows, str(tmp_path / "s"))
+    manifest = {r.sample_idx: (r.out, r.chars, r.error) for r in spark.read.json(str(tmp_path / "s/manifest")).collect()}
+    assert manifest == {1: ("001__x", 4, None), 2: ("", 0, "ValueError")}
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "s/texts")).collect()] == [("001__x", "text")]
+    sinks.write_index(spark.range(2), str(tmp_path / "i"))
+    sinks.write_index(spark.range(1), str(tmp_path / "i"), append=True)
+    assert spark.read.parquet(str(tmp_path / "i")).count() == 3
+
+
+def test_whole_documents(spark):
+    files = spark.createDataFrame([("a", bytearray(b"x|y ")), ("b", bytearray(b""))], "path string, content binary")
+    got = {r.path: r.text for r in readers.read_documents(files, lambda c: c.decode().split("|") if c else 1 / 0).collect()}
+    assert got == {"a": "x\ny", "b": ""}

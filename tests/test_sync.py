@@ -1,9 +1,11 @@
 import datetime as dt
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from lamplight.operators import sync, tables
+from lamplight.sources import sinks
 from lamplight.streaming.drain import INDEX, QUEUE, Breaker, Drain
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.UTC).replace(tzinfo=None)
@@ -21,7 +23,7 @@ def view(spark):
 
 
 def index(spark):
-    return spark.createDataFrame([("cat-1-0", "catalog:1", "catalog-1", 0, 0, 0, "old", 1), ("cat-2-0", "catalog:2", "catalog-2", 0, 0, 0, "old", 2), ("x__p1__c0", "corpus/x", "x", 1, 0, 3, "text", None)], INDEX)
+    return spark.createDataFrame([("cat-1-0", "catalog:1", "catalog-1", 0, 0, 0, "old", 1, None), ("cat-2-0", "catalog:2", "catalog-2", 0, 0, 0, "old", 2, None), ("x__p1__c0", "corpus/x", "x", 1, 0, 3, "text", None, None)], INDEX)
 
 
 def test_claim_and_stats(spark):
@@ -77,18 +79,117 @@ def test_table_changes(spark):
     assert tables.delete_by_key(old, new, "k").count() == 3
 
 
+def drain_at(spark, tmp_path, rows, **options):
+    queue(spark, rows).coalesce(1).write.parquet(str(tmp_path / "q"))
+    index(spark).write.parquet(str(tmp_path / "i/base"))
+    return Drain(spark, lambda: view(spark), str(tmp_path / "q"), str(tmp_path / "i"), **options)
+
+
+def chunks(df):
+    return sorted((r.chunk_id, r.text) for r in df.collect())
+
+
+def riceless():
+    def encoder(texts):
+        if any("Rice" in t for t in texts):
+            raise ValueError("no rice")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    return encoder
+
+
+ROWS = [(1, 1, "upsert", 0, 0), (2, 2, "upsert", 0, 1), (3, 4, "upsert", 0, 2), (4, 4, "delete", 0, 3), (5, 3, "upsert", 5, 3), (6, 4, "upsert", 0, 4)]
+
+
 def test_stream_equals_batch(spark, tmp_path):
-    q = queue(spark, [(1, 1, "upsert", 0, 0), (2, 2, "upsert", 0, 1), (3, 4, "upsert", 0, 2), (4, 4, "delete", 0, 3), (5, 3, "upsert", 5, 3)])
-    q.coalesce(1).write.parquet(str(tmp_path / "q"))
-    index(spark).write.parquet(str(tmp_path / "i"))
-    drain = Drain(spark, lambda: view(spark), str(tmp_path / "i"), str(tmp_path / "e"))
-    for check in ("c1", "c2"):  # the second run replays everything
-        drain.start(str(tmp_path / "q"), str(tmp_path / check)).awaitTermination()
-        want = sync.apply_batch(index(spark), q.where(sync.claimable()), view(spark))
-        assert sorted(r.chunk_id for r in drain.index().collect()) == sorted(r.chunk_id for r in want.collect())
-    dry = Drain(spark, lambda: view(spark), str(tmp_path / "i"), str(tmp_path / "e"), dry_run=True)
-    dry.start(str(tmp_path / "q"), str(tmp_path / "c3")).awaitTermination()
-    assert dry.planned == 4
+    drain = drain_at(spark, tmp_path, ROWS)
+    want = chunks(sync.apply_batch(index(spark), queue(spark, ROWS).where(sync.claimable()), view(spark)))
+    for check in ("c1", "c2"):  # the second run finds nothing to do
+        drain.start(str(tmp_path / check)).awaitTermination()
+        assert chunks(drain.index()) == want
+    assert {r.id: (r.processed_at is not None, r.attempts, r.error) for r in drain.queue().collect()} == {**{i: (True, 0, None) for i in (1, 2, 3, 4, 6)}, 5: (False, 5, None)}
+    assert sync.queue_stats(drain.queue()).first().asDict() == {"total": 6, "pending": 0, "done": 5, "failed": 1}
+    drain.compact()
+    assert chunks(drain.index()) == want and not (tmp_path / "i/changes").exists()
+
+
+def test_batches_are_bounded_and_rewrite_nothing(spark, tmp_path):
+    drain = drain_at(spark, tmp_path, ROWS)
+    before = sorted((tmp_path / "i/base").iterdir())
+    assert {k: v for k, v in drain.drain(2).items() if k != "took_ms"} == {"processed": 2, "failed": 0, "remaining": 3}
+    assert [r.id for r in drain.queue().where("processed_at is not null").orderBy("id").collect()] == [1, 2]
+    assert drain.drain(2)["remaining"] == 1 and drain.drain()["remaining"] == 0 and drain.drain()["processed"] == 0
+    assert sorted((tmp_path / "i/base").iterdir()) == before
+    assert {"cat-4-0", "cat-4-1", "cat-4-2", "cat-1-0"} <= {r.chunk_id for r in drain.index().collect()}
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    drain = drain_at(spark, tmp_path, ROWS)
+    drain.drain()
+    want = chunks(drain.index())
+    sinks.remove(spark, str(tmp_path / "i/outcomes"))  # as if cut off before the acknowledgement
+    drain.drain()
+    assert chunks(drain.index()) == want and drain.queue().where(sync.claimable()).count() == 0
+
+
+def test_poison_row_is_tried_five_times_and_holds_up_nobody(spark, tmp_path):
+    drain = drain_at(spark, tmp_path, ROWS, encoder=riceless())
+    first = drain.drain()
+    assert (first["processed"], first["failed"], first["remaining"]) == (4, 1, 1)
+    assert {r.chunk_id: r.vector for r in drain.index().where("catalog_id = 4").collect()}["cat-4-0"] == [1500.0, 1.0]
+    assert ("cat-1-0", "old") in chunks(drain.index())  # what can't be made anew stays
+    assert drain.drain_all()["failed"] == 4
+    poison = drain.queue().where("id = 1").first()
+    assert (poison.attempts, poison.processed_at, poison.error) == (5, None, "ValueError: no rice")
+    assert drain.drain() | {"took_ms": 0} == {"processed": 0, "failed": 0, "remaining": 0, "took_ms": 0}
+
+
+def test_dry_run_and_full_texts(spark, tmp_path):
+    texts = spark.createDataFrame([(1, "full text of it")], "catalog_id long, fulltext string")
+    dry = drain_at(spark, tmp_path, ROWS, dry_run=True, fulltext=lambda rows: texts)
+    assert dry.drain()["processed"] == 5 and chunks(dry.index()) == chunks(index(spark))
+    changes, outcomes = dry.plan(dry.queue().where(sync.claimable()))
+    assert {(r.chunk_id, r.text) for r in changes.where("catalog_id = 1").collect()} == {("cat-1-0", "Title: Rice\nPublished: Press 1999\nSummary: About rice."), ("cat-1-1", "full text of it")}
+    assert outcomes.where("error is null").count() == 5
+
+
+def test_empty_queue(spark, tmp_path):
+    assert drain_at(spark, tmp_path, []).drain_all() | {"took_ms": 0} == {"processed": 0, "failed": 0, "remaining": 0, "took_ms": 0}
+
+
+def test_clock_drives_retries(spark, tmp_path):
+    drain = drain_at(spark, tmp_path, ROWS[:2])
+    stream = drain.start(str(tmp_path / "c"), every="1 second")
+    try:
+        for _ in range(60):
+            if (tmp_path / "i/outcomes").exists():
+                break
+            time.sleep(1)
+    finally:
+        stream.stop()
+    assert drain.queue().where("processed_at is null").count() == 0
+
+
+def test_media_and_full_texts(spark):
+    media = spark.createDataFrame([(1, 1, "old.pdf", None), (2, 1, "\\\\up\\a.pdf", None), (3, 2, "gone.pdf", None), (4, 4, "/up/b.pdf", None), (5, 4, "x.pdf", T0)], "id long, catalog_id long, FileLocation string, deleted_at timestamp")
+    contents = spark.createDataFrame([("/srv/up/a.pdf", bytearray(b" one|two ")), ("/srv/up/b.pdf", bytearray(b"bad"))], "path string, content binary")
+    rows = sync.located(view(spark), media, contents, "/srv/")
+    assert {r.catalog_id: r.path for r in rows.collect()} == {1: "/srv/up/a.pdf", 2: None, 3: None, 4: "/srv/up/b.pdf"}
+
+    def parser(content):
+        if content == b"bad":
+            raise ValueError
+        return content.decode().split("|")
+
+    assert {r.catalog_id: r.fulltext for r in sync.full_texts(rows, contents, parser).collect()} == {1: "one\ntwo", 2: "", 3: "", 4: ""}
+
+
+def test_enqueued(spark):
+    q = queue(spark, [(1, 7, "upsert", 3, 0), (2, 8, "upsert", 0, 0)])
+    ids = spark.createDataFrame([(9,), (7,), (7,), (None,), (0,)], "catalog_id long")
+    got = sync.enqueued(q, ids, "delete", "reconcile", F.lit(T0), 100)
+    assert {(r.id, r.catalog_id, r.action, r.reason, r.attempts, r.created_at) for r in got.where("id > 1").collect()} == {(2, 8, "upsert", None, 0, T0), (100, 7, "delete", "reconcile", 0, T0), (101, 9, "delete", "reconcile", 0, T0)}
+    assert got.count() == 3 and sync.enqueued(q, ids.where("false"), "delete", "r", F.lit(T0), 1).count() == 2
 
 
 def test_breaker():
