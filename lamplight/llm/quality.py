@@ -58,7 +58,7 @@ def text_statistics(df: DataFrame, id_col: str, text_col: str, model: np.ndarray
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(partial(_stats, model), f"id {kind}, {STATS}")
 
 
-#: The language of texts whose words are of none: they're judged by the profile of all texts whose words are of some.
+#: What measures texts whose words are of no language: they're judged by the profile of all texts whose words are of some.
 UNDETERMINED = "und"
 
 
@@ -68,28 +68,28 @@ def _sketches(k: int) -> list[Column]:
 
 def _quantiles(sketches: DataFrame) -> DataFrame:
     q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
-    return sketches.select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
+    return sketches.select("measured_by", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
 
 
 def profile(stats: DataFrame, k: int = 400) -> DataFrame:
-    """By language, and for all languages together as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
+    """By measured_by, that is by language, and for all languages together as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
 
     The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread. Texts without a word are left out.
     """
-    some = stats.where((F.col("words") > 0) & (F.col("lang") != UNDETERMINED))
-    each = some.groupBy("lang").agg(*_sketches(k))
-    whole = some.agg(*_sketches(k)).where("documents > 0").select(F.lit(UNDETERMINED).alias("lang"), "documents", *MEASURES)
+    some = stats.where((F.col("words") > 0) & (F.col("measured_by") != UNDETERMINED))
+    each = some.groupBy("measured_by").agg(*_sketches(k))
+    whole = some.agg(*_sketches(k)).where("documents > 0").select(F.lit(UNDETERMINED).alias("measured_by"), "documents", *MEASURES)
     return _quantiles(each.unionByName(whole))
 
 
 def with_languages(stats: DataFrame, k: int = 400) -> DataFrame:
-    """stats whose lang is UNDETERMINED where the share of the likeliest language's common words is under half of the corpus' median share.
+    """stats with measured_by, the likeliest language, or UNDETERMINED where the share of its common words is under half of the corpus' median share.
 
-    Otherwise unreadable text, which has a few such words by chance, would make the profile of a language by itself.
+    Otherwise unreadable text, which has a few such words by chance, would make the profile of a language by itself. lang stays the likeliest.
     """
     median = stats.where("words > 0").agg(F.kll_sketch_agg_double("common_ratio", k).alias("s"), F.count("*").alias("n")).where("n > 0").select(F.kll_sketch_get_quantile_double("s", F.lit(0.5)).alias("usual_share"))
     rows = stats.join(F.broadcast(median), how="left")  # one row
-    return rows.withColumn("lang", F.when(F.col("common_ratio") >= F.col("usual_share") / 2, F.col("lang")).otherwise(UNDETERMINED)).drop("usual_share")
+    return rows.withColumn("measured_by", F.when(F.col("common_ratio") >= F.col("usual_share") / 2, F.col("lang")).otherwise(UNDETERMINED)).drop("usual_share")
 
 
 def scored(stats: DataFrame, k: int = 400) -> DataFrame:
@@ -97,7 +97,7 @@ def scored(stats: DataFrame, k: int = 400) -> DataFrame:
     stats = with_languages(stats, k)
     p = profile(stats, k)
     z = [((F.col(m) - F.col(f"{m}_median")) / F.col(f"{m}_spread")).alias(f"z_{m}") for m in MEASURES]
-    return stats.join(F.broadcast(p), "lang", "left").select(*stats.columns, *z)
+    return stats.join(F.broadcast(p), "measured_by", "left").select(*stats.columns, *z)
 
 
 def kind_of(tail: float = 3.5) -> Column:

@@ -23,7 +23,7 @@ from lamplight.session import materialize
 
 BANDS = ["primary", "secondary", "college", "specialist"]
 #: Labelled documents that the models are fitted on at most, those of least id hash.
-TRAINING_DOCUMENTS = 1000
+TRAINING_DOCUMENTS = 1500
 _WORD_BITS, _CHAR_BITS, _DENSE = 15, 17, 6
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
@@ -74,12 +74,10 @@ class Sentences:
 
 
 def _sums(weights: np.ndarray, index: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Per sentence, the summed rows weights[index[first:last]], one class at a time."""
-    out = np.empty((len(first), weights.shape[1]))
-    for c in range(weights.shape[1]):
-        total = np.concatenate([[0.0], np.cumsum(weights[:, c][index], dtype=np.float64)])
-        out[:, c] = total[last] - total[first]
-    return out
+    """Per sentence, the summed rows weights[index[first:last]], all classes in one pass."""
+    total = np.zeros((len(index) + 1, weights.shape[1]))
+    np.cumsum(weights[index], axis=0, dtype=np.float64, out=total[1:])
+    return total[last] - total[first]
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -144,31 +142,30 @@ def document_features(model: SentenceModel, texts: list[str | None]) -> np.ndarr
     return np.stack(cols, axis=1)
 
 
+#: Of the labelled documents of each band, the share that the sentence model is fitted on; the rest calibrates it.
+FITTED = 0.6
+
+
 class ReadingModel:
-    """Sentence model and calibration, fitted on (text, band) pairs; a fixed split keeps their documents apart."""
+    """Sentence model, fitted on one part of (text, band) pairs, and calibration, fitted on that model's outputs for the other part."""
 
     def __init__(self, texts: list[str], bands: list[str], penalty: float = 1e-3):
         label = np.array([BANDS.index(b) for b in bands], np.int64)
-        half = np.zeros(len(texts), np.int64)  # alternating within each band
+        fitted = np.zeros(len(texts), bool)  # evenly spread within each band
         for b in range(len(BANDS)):
             at = np.flatnonzero(label == b)
-            half[at] = np.arange(len(at)) % 2
-        parts = []
-        for side in (0, 1):
-            train = [t for t, h in zip(texts, half, strict=True) if h == side]
-            s = Sentences(train)
-            parts.append(SentenceModel(len(BANDS)).fit(s, label[half == side][s.doc]) if len(s.words) else SentenceModel(len(BANDS)))
-        x = np.zeros((len(texts), document_features(parts[0], [""]).shape[1]))
-        for side in (0, 1):  # each half's documents are seen by the other half's model
-            at = np.flatnonzero(half != side)
-            x[at] = document_features(parts[side], [texts[i] for i in at])
+            fitted[at] = np.floor(np.arange(1, len(at) + 1) * FITTED) > np.floor(np.arange(len(at)) * FITTED)
+        s = Sentences([t for t, h in zip(texts, fitted, strict=True) if h])
         self.model = SentenceModel(len(BANDS))
-        self.model.word, self.model.char, self.model.dense = ((a + b) / 2 for a, b in zip(*((m.word, m.char, m.dense) for m in parts), strict=True))
+        if len(s.words):
+            self.model.fit(s, label[fitted][s.doc])
+        x, label = document_features(self.model, [t for t, h in zip(texts, fitted, strict=True) if not h] or [""]), label[~fitted]
+        x = x[: len(label)]
         self.center, self.scale = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
         self.center[-1], self.scale[-1] = 0, 1
         x = (x - self.center) / self.scale
         share = 1 / np.maximum(np.bincount(label, minlength=len(BANDS)), 1)[label]
-        share /= share.sum()
+        share /= max(share.sum(), 1e-9)
         target, z, speed = np.eye(len(BANDS))[label], np.zeros((x.shape[1], len(BANDS))), 0.0
         for _ in range(400):
             error = (_softmax(x @ z) - target) * share[:, None]
