@@ -58,46 +58,47 @@ def text_statistics(df: DataFrame, id_col: str, text_col: str, model: np.ndarray
     return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(partial(_stats, model), f"id {kind}, {STATS}")
 
 
-#: What measures texts whose words are of no language: they're judged by the profile of all texts whose words are of some.
-UNDETERMINED = "und"
+#: Stands for all languages together; its profile measures texts whose likeliest language has none.
+ANY = "any"
 
 
 def _sketches(k: int) -> list[Column]:
     return [F.count("*").alias("documents"), *(F.kll_sketch_agg_double(m, k).alias(m) for m in MEASURES)]
 
 
-def _quantiles(sketches: DataFrame) -> DataFrame:
-    q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
-    return sketches.select("measured_by", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
-
+def with_certainty(stats: DataFrame, k: int = 400) -> DataFrame:
+    """stats with certain: whether the share of the likeliest language's common words is half of the corpus' median share or more.
 
-def profile(stats: DataFrame, k: int = 400) -> DataFrame:
-    """By measured_by, that is by language, and for all languages together as UNDETERMINED: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
-
-    The spread is the mean of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread. Texts without a word are left out.
+    Unreadable text has a few words of some language by chance; it must not make a language's profile by itself.
     """
-    some = stats.where((F.col("words") > 0) & (F.col("measured_by") != UNDETERMINED))
-    each = some.groupBy("measured_by").agg(*_sketches(k))
-    whole = some.agg(*_sketches(k)).where("documents > 0").select(F.lit(UNDETERMINED).alias("measured_by"), "documents", *MEASURES)
-    return _quantiles(each.unionByName(whole))
+    median = stats.where("words > 0").agg(F.kll_sketch_agg_double("common_ratio", k).alias("s"), F.count("*").alias("n")).where("n > 0").select(F.kll_sketch_get_quantile_double("s", F.lit(0.5)).alias("usual_share"))
+    rows = stats.join(F.broadcast(median), how="left")  # one row
+    return rows.withColumn("certain", F.coalesce(F.col("common_ratio") >= F.col("usual_share") / 2, F.lit(False))).drop("usual_share")
 
 
-def with_languages(stats: DataFrame, k: int = 400) -> DataFrame:
-    """stats with measured_by, the likeliest language, or UNDETERMINED where the share of its common words is under half of the corpus' median share.
+def profile(stats: DataFrame, k: int = 400) -> DataFrame:
+    """By language, and for all together as ANY: count, and median and robust spread of each statistic, from KLL sketches merged over all documents.
 
-    Otherwise unreadable text, which has a few such words by chance, would make the profile of a language by itself. lang stays the likeliest.
+    Only certain texts with words count, and a language has a row only if most of the texts it's likeliest for are certain. The spread is the mean
+    of the distances of the 15.9 % and 84.1 % quantiles from the median, or a least spread.
     """
-    median = stats.where("words > 0").agg(F.kll_sketch_agg_double("common_ratio", k).alias("s"), F.count("*").alias("n")).where("n > 0").select(F.kll_sketch_get_quantile_double("s", F.lit(0.5)).alias("usual_share"))
-    rows = stats.join(F.broadcast(median), how="left")  # one row
-    return rows.withColumn("measured_by", F.when(F.col("common_ratio") >= F.col("usual_share") / 2, F.col("lang")).otherwise(UNDETERMINED)).drop("usual_share")
+    stats = with_certainty(stats, k).where("words > 0")
+    stands = stats.groupBy("lang").agg(F.count_if("certain").alias("c"), F.count("*").alias("n")).where("2 * c >= n").select("lang")
+    each = stats.where("certain").groupBy("lang").agg(*_sketches(k)).join(F.broadcast(stands), "lang", "left_semi")
+    whole = stats.where("certain").agg(*_sketches(k)).where("documents > 0").select(F.lit(ANY).alias("lang"), "documents", *MEASURES)
+    q = lambda m, p: F.kll_sketch_get_quantile_double(m, F.lit(p))
+    return each.unionByName(whole).select("lang", "documents", *(q(m, 0.5).alias(f"{m}_median") for m in MEASURES), *(F.greatest((q(m, 0.841) - q(m, 0.159)) / 2, F.lit(LEAST_SPREAD.get(m, 0.005))).alias(f"{m}_spread") for m in MEASURES))
 
 
 def scored(stats: DataFrame, k: int = 400) -> DataFrame:
-    """The statistics with a robust z-score z_<name> of each, against the profile of the text's language (a few rows, broadcast)."""
-    stats = with_languages(stats, k)
-    p = profile(stats, k)
+    """The statistics with a robust z-score z_<name> of each, and relative_common, the share of common words as a part of its median, against the profile of the text's likeliest language, or of all if that has none."""
+    p = profile(stats, k).drop("documents")
+    columns = p.columns[1:]
+    langs = stats.sparkSession.createDataFrame([(x,) for x in LANGS], "lang string")
+    whole = p.where(F.col("lang") == ANY).select(*(F.col(c).alias(f"any_{c}") for c in columns))
+    p = langs.join(F.broadcast(p), "lang", "left").join(F.broadcast(whole), how="left").select("lang", *(F.coalesce(c, f"any_{c}").alias(c) for c in columns))
     z = [((F.col(m) - F.col(f"{m}_median")) / F.col(f"{m}_spread")).alias(f"z_{m}") for m in MEASURES]
-    return stats.join(F.broadcast(p), "measured_by", "left").select(*stats.columns, *z)
+    return stats.join(F.broadcast(p), "lang", "left").select(*stats.columns, *z, (F.col("common_ratio") / F.col("common_ratio_median")).alias("relative_common"))
 
 
 def kind_of(tail: float = 3.5) -> Column:
@@ -109,8 +110,9 @@ def kind_of(tail: float = 3.5) -> Column:
     most of it stands in rows of cells and few words are common; a list if most of it stands in short entries and its share of common words is low, if
     not in the tail, the more so the fewer of its lines end a sentence.
     """
-    z, share = (lambda m: F.col(f"z_{m}")), F.col
-    few_common, low_common, hardly_any = (z("common_ratio") < -x * tail for x in (1, 0.5, 1.4))
+    z, share, common = (lambda m: F.col(f"z_{m}")), F.col, F.col("relative_common")
+    # Where shares of common words vary much, their tail begins below what any prose has: then a small part of the median counts.
+    few_common, low_common, hardly_any = (z("common_ratio") < -tail) | (common < 0.3), z("common_ratio") < -tail / 2, (z("common_ratio") < -1.4 * tail) | (common < 0.3)
     odd = (z("sequence_score") < -2 * tail) & few_common
     strange = (z("foreign_ratio") > 20 * tail) | (low_common & (z("symbol_ratio") > 20 * tail))
     junk = strange | (low_common & (z("sequence_score") < -5 * tail) & (share("cell_ratio") < 0.5)) | (odd & (share("cell_ratio") < 0.5) & (share("entry_ratio") < 0.5))
@@ -119,7 +121,8 @@ def kind_of(tail: float = 3.5) -> Column:
         .when((share("form_ratio") >= 0.5) | junk, "junk")
         .when((share("cell_ratio") >= 0.5) & few_common, "table")
         .when((share("entry_ratio") >= 0.6) & (z("common_ratio") < -0.8 * tail), "list")
-        .when((share("entry_ratio") >= 0.6) & (z("common_ratio") < -0.65 * tail) & (share("line_end_ratio") < 0.15), "list")
+        .when((share("entry_ratio") >= 0.85) & (common < 0.4), "list")
+        .when((share("entry_ratio") >= 0.6) & ((z("common_ratio") < -0.65 * tail) | (common < 0.5)) & (share("line_end_ratio") < 0.15), "list")
         .when(hardly_any & (share("cell_ratio") >= share("entry_ratio")) & (share("cell_ratio") >= 0.35), "table")
         .when(hardly_any & (share("entry_ratio") >= 0.35), "list")
         .when(odd, "junk")

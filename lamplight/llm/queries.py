@@ -9,7 +9,7 @@ from lamplight.llm.encode import encode_corpus
 from lamplight.llm.knn import nearest_vectors, similar_vectors
 from lamplight.llm.leakage import find_leaks
 from lamplight.llm.order_minhash import NearDuplicates, near_duplicate_records
-from lamplight.llm.quality import profile, text_kinds, text_statistics, with_languages
+from lamplight.llm.quality import profile, text_kinds, text_statistics
 from lamplight.llm.reading_level import english_prose, reading_levels
 from lamplight.llm.scan_repair import found_items, repair_scans
 from lamplight.session import materialize, table
@@ -52,7 +52,7 @@ def p3_statistics(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_profile(spark: SparkSession, d: str) -> DataFrame:
     """By language, and for all together, median and spread of each statistic over the corpus."""
-    return profile(with_languages(materialize(text_statistics(table(spark, d, "documents"), "doc_id", "text"), "profile")))
+    return profile(materialize(text_statistics(table(spark, d, "documents"), "doc_id", "text"), "profile"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
