@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 Encoder = Callable[[list[str]], np.ndarray]
 Generator = Callable[[str], str]
+Reranker = Callable[[str, list[str]], list[float]]
 PageParser = Callable[[bytes], list[str]]
 _WORD = re.compile("[a-z0-9]+")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamplight.functions import text as T
+from lamplight.models import Generator
 from lamplight.operators import catalog as C
 from lamplight.operators import sync, tables
 from lamplight.operators.chunking import abstract_of
@@ -108,6 +109,40 @@ def f_abstract(spark, d):
     return abstract_of(table(spark, d, "research")).select("stem", F.md5("abstract").alias("abstract"))
 
 
+def _deterministic() -> Generator:
+    """A stand-in model: it quotes the front matter's first 40 characters as the title, fenced, and fails on some of it."""
+    import json
+
+    def generate(prompt: str) -> str:
+        if "nitrogen" in prompt:
+            raise ValueError("too much nitrogen")
+        if "irrigation" in prompt:
+            return "I cannot say."
+        title = prompt[:40]
+        return "```json\n" + json.dumps({"title": title, "year": f"{len(prompt)}-x", "type": "Serials" if len(prompt) % 2 else "Maps", "is_research": len(prompt) % 3 > 0, "restricted": None, "authors": "N/A", "statement_of_responsibility": "by X"}) + "\n```"
+
+    return generate
+
+
+@query(f"""
+    WITH o AS (SELECT stem, text, row_number() OVER (PARTITION BY stem ORDER BY page NULLS LAST, chunk_index NULLS LAST, chunk_id, row_id) AS n FROM research WHERE text IS NOT NULL AND stem IS NOT NULL),
+    d AS (SELECT stem, max(page) AS pages FROM research WHERE stem IS NOT NULL GROUP BY stem),
+    f AS (SELECT stem, substr(string_agg(text, chr(10) ORDER BY n) FILTER (n <= 3), 1, 2800) AS front, substr(string_agg(text, chr(10) ORDER BY n) FILTER (n <= 6), 1, 2000) AS opening FROM o GROUP BY stem),
+    r AS (SELECT stem, pages, front, opening, coalesce({strip_sql('front')}, '') = '' AS blank, contains(front, 'nitrogen') AS failed, contains(front, 'irrigation') AS odd, substr(front, 1, 40) AS raw_title, length(front) AS n FROM d LEFT JOIN f USING (stem)),
+    c AS (SELECT *, {_clean_sql('raw_title')} AS title FROM r),
+    g AS (SELECT *, list_filter([CASE WHEN title IS NULL OR length(title) < 4 THEN 'no-title' END, CASE WHEN regexp_matches(stem, '{_PATTERN}') OR regexp_matches(opening, '{_PATTERN}') THEN 'restricted' END, CASE WHEN n % 3 = 0 THEN 'junk' END], lambda x: x IS NOT NULL) AS f FROM c)
+    SELECT stem, pages, CASE WHEN blank OR failed OR odd THEN NULL ELSE md5(title) END AS title, CASE WHEN blank OR failed OR odd THEN NULL ELSE substr(n || '-x', 1, 4) END AS year,
+        CASE WHEN blank OR failed OR odd THEN NULL WHEN n % 2 = 1 THEN 'Serials' ELSE 'Books' END AS type, CASE WHEN blank OR failed OR odd THEN NULL ELSE 'by X' END AS responsibility,
+        CASE WHEN blank THEN 'no-title' WHEN failed OR odd THEN 'error' ELSE array_to_string(f, ',') END AS flags,
+        CASE WHEN blank THEN 'No readable text in the index' WHEN failed OR odd THEN 'Extraction failed: ValueError' ELSE CASE f[1] WHEN 'no-title' THEN 'No title could be read from the document' WHEN 'restricted' THEN 'Marked restricted / not for open circulation' WHEN 'junk' THEN 'Not research output (form, receipt, memo or similar)' END END AS reason,
+        CASE WHEN blank THEN NULL WHEN failed THEN 'too much nitrogen' WHEN odd THEN 'no JSON object in the answer' END AS error FROM g""")
+def f_extract(spark, d):
+    """Catalogue records of all documents, by a deterministic model that fails on some."""
+    rows = table(spark, d, "research").withColumn("chunk_id", F.concat_ws("\u0000", "chunk_id", "row_id"))
+    made = C.extract(rows, _deterministic)
+    return made.select("stem", "pages", F.md5("title").alias("title"), "year", "type", "responsibility", F.array_join("flags", ",").alias("flags"), "reason", "error")
+
+
 @query("SELECT event_id, json_extract_string(props, '$.k')::INT AS k FROM events")
 def f_json_salvage(spark, d):
     """A number out of fenced and prose-wrapped JSON."""

@@ -9,7 +9,7 @@ from lamplight.functions import text as T
 from lamplight.operators import retrieval as R
 from lamplight.operators import tables
 from lamplight.plans.registry import SPACE, query
-from lamplight.session import table
+from lamplight.session import broadcast_if_small, table
 
 TERMS = ["dormancy", "irrigation", "nitrogen", "household", "vigour"]
 _DOT = "list_sum(list_transform(generate_series(1, len({a})), lambda i: {a}[i]::DOUBLE * {b}[i]::DOUBLE))"
@@ -65,49 +65,79 @@ def e_bm25(spark, d):
     return R.bm25_top(table(spark, d, "research"), "row_id", "text", TERMS)
 
 
-@query("""
-    SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM research) GROUP BY row_id, term) GROUP BY term""")
-def e_term_stats(spark, d):
-    """Document and collection frequency of every term of the inverted index."""
-    return R.postings(table(spark, d, "research"), "row_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+# Hybrid retrieval runs over research, whose every row has text and vector; the query is a vector and five terms.
+_Q = "(SELECT vector FROM research WHERE row_id = 'r0000000000' OR len(vector) = 64 ORDER BY row_id LIMIT 1)"
+_OK = "len(r.vector) = 64 AND NOT list_contains(list_transform(r.vector, lambda x: isnan(x)), true) AND list_sum(list_transform(r.vector, lambda x: x::DOUBLE * x::DOUBLE)) > 0"
+_NEAR_R = f"SELECT r.row_id, {_cos('r.vector', 'q.vector')} AS similarity FROM research r, {_Q} q WHERE {_OK} ORDER BY similarity DESC, row_id LIMIT 30"
+_DENSE_R = f"SELECT row_id, similarity, row_number() OVER (ORDER BY similarity DESC, row_id) - 1 AS pos FROM ({_NEAR_R})"
+_FUSED = f"""
+    SELECT row_id, round(sum(1 / (60 + pos + 1)), 9) AS rrf, min(src * 1000 + pos) AS first
+    FROM (SELECT row_id, 0 AS src, pos FROM ({_DENSE_R}) UNION ALL SELECT row_id, 1 AS src, pos FROM ({_bm25_sql('research', 'row_id')})) GROUP BY row_id ORDER BY rrf DESC, first LIMIT 24"""
+_KEPT: dict[str, R.TextIndex] = {}
 
 
-_PAIRED = "(SELECT doc_id AS vec_id, text FROM documents WHERE doc_id IN (SELECT vec_id FROM embeddings WHERE vec_id <> 0))"
-_FUSED = f"""
-    SELECT vec_id, round(sum(1 / (60 + pos + 1)), 9) AS rrf, min(src * 1000 + pos) AS first
-    FROM (SELECT vec_id, 0 AS src, pos FROM ({_DENSE}) UNION ALL SELECT vec_id, 1 AS src, pos FROM ({_bm25_sql(_PAIRED, 'vec_id')})) GROUP BY vec_id ORDER BY rrf DESC, first LIMIT 24"""
+def text_index(spark: SparkSession, d: str) -> R.TextIndex:
+    """The kept text index of a folder's research table, built at its first use in a session and read by every later query."""
+    name = f"{spark.sparkContext.applicationId} {d}"
+    if name not in _KEPT:
+        _KEPT[name] = R.TextIndex.build(table(spark, d, "research"), "row_id", "text")
+    return _KEPT[name]
 
 
-def _paired(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    return docs.join(table(spark, d, "embeddings").where("vec_id <> 0").select("vec_id"), "vec_id", "left_semi")
+def _dense_r(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "research").select("row_id", "vector")
+    query = rows.where("size(vector) = 64").orderBy("row_id").first().vector
+    return R.dense_top(rows, "row_id", "vector", query)
 
 
 def _fused(spark: SparkSession, d: str) -> DataFrame:
-    return R.fuse(_dense(spark, d), R.bm25_top(_paired(spark, d), "vec_id", "text", TERMS), "vec_id")
+    return R.fuse(_dense_r(spark, d), text_index(spark, d).top(TERMS), "row_id")
+
+
+@query("""
+    SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM (SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM research) GROUP BY row_id, term) GROUP BY term""")
+def e_term_stats(spark, d):
+    """Document and collection frequency of every term of the kept index."""
+    return text_index(spark, d).terms().select("term", "df", "cf")
 
 
-@query(f"SELECT vec_id, rrf, (row_number() OVER (ORDER BY rrf DESC, first) - 1)::INT AS fused_pos FROM ({_FUSED})")
+@query(f"SELECT row_id, score, pos::INT AS pos FROM ({_bm25_sql('research', 'row_id')})")
+def e_bm25_kept(spark, d):
+    """The same from the kept index: the postings of five terms."""
+    return text_index(spark, d).top(TERMS)
+
+
+@query(f"SELECT row_id, rrf, (row_number() OVER (ORDER BY rrf DESC, first) - 1)::INT AS fused_pos FROM ({_FUSED})")
 def e_rrf(spark, d):
-    """The dense and lexical lists, fused."""
+    """The dense and lexical lists over all chunks, fused."""
     return _fused(spark, d)
 
 
-@query(f"""
-    WITH f AS (SELECT vec_id, (row_number() OVER (ORDER BY rrf DESC, first) - 1)::INT AS fused_pos FROM ({_FUSED}))
-    SELECT vec_id, round(len(list_intersect(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')), [{', '.join(f"'{t}'" for t in TERMS)}])) / {len(TERMS)}.0, 6)::DOUBLE AS score, fused_pos
-    FROM f JOIN documents ON doc_id = vec_id ORDER BY score DESC, fused_pos LIMIT 5""")
+_RERANKED = f"""
+    WITH f AS (SELECT row_id, (row_number() OVER (ORDER BY rrf DESC, first) - 1)::INT AS fused_pos FROM ({_FUSED}))
+    SELECT row_id, {{score}} AS score, fused_pos FROM f JOIN research USING (row_id) ORDER BY score DESC, fused_pos LIMIT 5"""
+
+
+@query(_RERANKED.format(score=f"round(len(list_intersect(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')), [{', '.join(f"'{t}'" for t in TERMS)}])) / {len(TERMS)}.0, 6)::DOUBLE"))
 def e_rerank_topk(spark, d):
-    """Hybrid retrieval from end to end: the five best of the fused list by the lexical scorer."""
-    docs = table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
-    return R.rerank(_fused(spark, d), docs, "vec_id", "text", TERMS, 5)
+    """Hybrid retrieval from end to end over all chunks: the five best of the fused list by the lexical scorer."""
+    return R.rerank(_fused(spark, d), table(spark, d, "research").select("row_id", "text"), "row_id", "text", TERMS, 5)
+
+
+def _brevity(query: str, texts: list[str]) -> list[float]:
+    return [1 / (1 + len(t)) for t in texts]
+
+
+@query(_RERANKED.format(score="round(1 / (1 + length(coalesce(text, ''))), 6)::DOUBLE"))
+def e_rerank_injected(spark, d):
+    """The same with an injected reranker, one that prefers short texts."""
+    return R.rerank(_fused(spark, d), table(spark, d, "research").select("row_id", "text"), "row_id", "text", TERMS, 5, reranker=_brevity)
 
 
-@query(f"SELECT vec_id, round(1 / (60 + pos + 1), 9) AS rrf, pos::INT AS fused_pos FROM ({_DENSE}) WHERE pos < 24")
+@query(f"SELECT row_id, round(1 / (60 + pos + 1), 9) AS rrf, pos::INT AS fused_pos FROM ({_DENSE_R}) WHERE pos < 24")
 def e_fallback_no_fts(spark, d):
     """Without lexical hits the dense list stands."""
-    empty = R.bm25_top(_paired(spark, d), "vec_id", "text", [])
-    return R.fuse(_dense(spark, d), empty, "vec_id")
+    return R.fuse(_dense_r(spark, d), text_index(spark, d).top([]), "row_id")
 
 
 @query(f"SELECT vec_id, similarity FROM ({_DENSE}) WHERE pos < 5")
@@ -171,7 +201,7 @@ def h_relevant_stems(spark, d):
     """How many stems each test case counts as relevant: those that contain one of its fragments."""
     cases = table(spark, d, "eval_cases").select("case_id", "relevant")
     stems = table(spark, d, "research").where("stem is not null").select("stem").distinct()
-    return stems.join(F.broadcast(cases), T.contains_any(F.col("stem"), F.col("relevant"))).groupBy("case_id").agg(F.countDistinct("stem").alias("stems"))
+    return stems.join(broadcast_if_small(cases), T.contains_any(F.col("stem"), F.col("relevant"))).groupBy("case_id").agg(F.countDistinct("stem").alias("stems"))
 
 
 _COLLAPSE = f"trim(regexp_replace(text, '{SPACE}+', ' ', 'g'))"
