@@ -1,8 +1,10 @@
 """Several values packed in one cell: delimiter skeletons, one splitting rule a skeleton, positional extraction.
 
-A cell is cut into units (words, initials, numbers, runs of white space, single other characters). Its skeleton has one letter
-a unit: ordinary words are masked by their shape, delimiters stay. Cells of equal skeleton split alike, so the rules are
-resolved once for each distinct skeleton, as lists of unit ranges, and joined back; the values are cut out by position.
+A cell is cut into units (words, initials, numbers, runs of white space, single other characters), each masked by one letter for its
+shape; delimiters stay. Runs of units that no rule ever cuts (the words of a term, a person's names, whatever stands between two separators or
+two quotes) are masked by one letter again, so a skeleton tells delimiters and not words, and there are far fewer skeletons than cells.
+Cells of equal skeleton split alike: the rules are resolved once for each distinct skeleton, as ranges of runs, and joined back; the
+values are cut out by position.
 """
 
 from __future__ import annotations
@@ -48,11 +50,45 @@ def _shape(u: Column) -> Column:
 
 
 _STRONG = ";|nt\u00b7\u2022"
-_PERSON = re.compile(r"^N(?:_?I)*(?:_N)+(?:_J)?$")
-_SURNAME_FIRST = re.compile(r"^N(?:_N)?,_?N(?:_?[NI])*(?:,?_?J)?$")
+# P stands for a person given name first, N also for a name with initials.
+_PERSON = re.compile(r"^(?:P|N(?:_?I)*(?:_N)+)(?:_J)?$")
+_SURNAME_FIRST = re.compile(r"^(?:P|N(?:_N)?),_?(?:P|N(?:_?[NI])*)(?:,?_?J)?$")
 _NUMBERED = re.compile(r"(?:^|(?<=[_nt;|,]))(?:9[.)]|\(9\))(?=[_nt]|[NwHBo])")
 
 
+# Runs, as patterns over shapes. A number followed by a point or bracket may number an item and is in none.
+_ANY = "[NIHBodwJ]"
+_FIGURE = r"9(?![.)])"
+_TERM = rf"{_ANY}(?:(?:_-+_|_|/)(?:{_ANY}|{_FIGURE}))*"
+_NAMED = r"(?<![NIHBodwJ9]_)N(?:_?I)*(?:_N)+(?!_[NIHBodw9])|N(?:_?I)+(?!_N)"
+_BETWEEN = rf"[NIHBodw](?:[_,&.'-]*(?:{_ANY}|{_FIGURE}))*"
+_INSIDE = rf"(?<=\")[NIHBodw](?:[_,&.'/-]*(?:{_ANY}|{_FIGURE}))*(?=\")"
+_SEPARATED = r"[;|nt\u00b7\u2022]|^[_nt\[]*(?:9[.)]|\(9\))"
+
+
+_DELIMITER = r"_*[;|nt\u00b7\u2022]_*|_*,_*(?![d&]_)"  # with the blanks beside it
+
+
+def _runs(shapes: Column, kind: Column) -> Column:
+    """The runs of a cell's shapes, delimiters among them, in order."""
+    apart = F.regexp_replace(shapes, '"[^"]*"', "").rlike(_SEPARATED)  # a separator within quotes separates nothing
+    slashes = F.contains(shapes, F.lit("/"))
+    between = _BETWEEN.replace("[_,&.'-]", "(?:_-+_|[_,&.'-]|(?<!_)/(?!_))")
+    pattern = (
+        F.when((kind == "terms") & (apart | (~F.contains(shapes, F.lit('"')) & shapes.rlike("_/|/_"))), F.lit(between))
+        .when(kind == "terms", F.lit(_TERM))
+        .when(apart & ~slashes, F.lit(_BETWEEN))
+        .otherwise(F.lit(_NAMED))
+    )
+    return F.regexp_extract_all(shapes, F.concat(F.lit(f"{_INSIDE}|{_DELIMITER}|"), pattern, F.lit("|(?s).")), F.lit(0))
+
+
+def _masked(run: Column, kind: Column) -> Column:
+    """One letter for a run: itself if it's one unit, a delimiter's own, P for a person given name first, else N, or w in terms."""
+    delimiter = F.regexp_extract(run, "^_*([^_])_*$", 1)
+    return F.when(F.length(run) == 1, run).when(delimiter != "", delimiter).when(kind == "terms", "w").when(run.rlike(r"^N(?:_?I)*(?:_N)+$"), "P").otherwise("N")
+
+
 def _trim(k: str, s: int, e: int) -> tuple[int, int]:
     """The range without blanks, bullets, item numbers and enclosing brackets or quotes at its ends."""
     while True:
@@ -126,7 +162,7 @@ def _names_by_comma(k: str, s: int, e: int) -> list[tuple[int, int]]:
         return out
     if len(parts) >= 4 and not re.search("[HBow]", k[s:e]):
         pairs = [p for p, t in zip(parts, text, strict=True) if t != "J"]
-        if len(pairs) % 2 == 0 and all(re.match(r"^N(?:_[NI])*$", k[a:b]) for a, b in pairs) and all(k[a:b] == "N" for a, b in pairs[0::2]):
+        if len(pairs) % 2 == 0 and all(re.match(r"^(?:P|N(?:_[NI])*)$", k[a:b]) for a, b in pairs) and all(k[a:b] == "N" for a, b in pairs[0::2]):
             starts = [p[0] for p in pairs[0::2]]
             return [(a, b) for a, b in zip(starts, [*starts[1:], e], strict=True)]
     return [(s, e)]
@@ -140,7 +176,7 @@ def _slashes(k: str, s: int, e: int, protect: list[tuple[int, int]]) -> list[tup
             continue
         spaced = k[i - 1 : i] == "_" or k[i + 1 : i + 2] == "_"
         left, right = k[at:i].strip("_"), re.split(r"/", k[i + 1 : e])[0].strip("_")
-        if not spaced and re.match(r"^(?:N_)?N_N$|^N$", left) and re.match(r"^N_[BH]$", right):
+        if not spaced and re.match(r"^(?:N_)?N_N$|^N$|^P$", left) and re.match(r"^N_[BH]$", right):
             continue
         cuts.append((at, i))
         at = i + 1
@@ -212,9 +248,13 @@ def split_packed(df: DataFrame, id_col: str, fields: dict[str, str], name: str =
     tidy = F.lower(F.regexp_replace(F.regexp_replace("cell", r"(?U)\s+", " "), r"""^[ "'\[]+|[ "'\]]+$""", ""))
     cells = cells.where(F.col("cell").isNotNull() & ~tidy.isin(PLACEHOLDERS))
     cells = cells.withColumn("units", F.regexp_extract_all("cell", F.lit(UNITS), F.lit(0)))
-    cells = cells.withColumn("skeleton", F.array_join(F.transform("units", _shape), ""))
+    shapes = F.array_join(F.transform("units", _shape), "")
+    cells = cells.withColumn("runs", _runs(shapes, F.col("kind")))
+    cells = cells.withColumn("skeleton", F.array_join(F.transform("runs", lambda r: _masked(r, F.col("kind"))), "")).withColumn("sizes", F.transform("runs", F.length)).drop("runs")
     rules = materialize(cells.select("kind", "skeleton").distinct().mapInPandas(_resolve_all, "kind string, skeleton string, spans array<struct<s: int, n: int>>"), f"{name}-rules")
-    parts = cells.join(broadcast_if_small(rules), ["kind", "skeleton"]).select("id", "field", "units", F.posexplode("spans").alias("at", "span"))
+    total = lambda start, n: F.aggregate(F.slice("sizes", start, n), F.lit(0), lambda a, x: a + x)
+    parts = cells.join(broadcast_if_small(rules), ["kind", "skeleton"]).select("id", "field", "units", "sizes", F.posexplode("spans").alias("at", "run"))
+    parts = parts.select("id", "field", "units", "at", F.struct(total(F.lit(1), F.col("run.s")).alias("s"), total(F.col("run.s") + 1, F.col("run.n")).alias("n")).alias("span"))
     text = F.array_join(F.slice("units", F.col("span.s") + 1, F.col("span.n")), "")
     item = F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r'\\"', '"'), '""', '"'), r"(?U)\s+", " "))
     return parts.select("id", "field", (F.col("at") + 1).cast("int").alias("pos"), item.alias("item"))

@@ -46,3 +46,22 @@ def test_edges(spark):
     long = "; ".join(f"Surname{i}, Given" for i in range(5000))
     twice = spark.createDataFrame([(1, long), (1, long)], schema)
     assert split_packed(twice, "id", {"authors": "names"}).count() == 10000
+
+
+def skeleton(spark, kind, cell):
+    from pyspark.sql import functions as F
+
+    from lamplight.operators import packed as P
+
+    df = spark.createDataFrame([(kind, cell)], "kind string, cell string")
+    shapes = F.array_join(F.transform(F.regexp_extract_all("cell", F.lit(P.UNITS), F.lit(0)), P._shape), "")
+    return df.select(F.array_join(F.transform(P._runs(shapes, F.col("kind")), lambda r: P._masked(r, F.col("kind"))), "")).first()[0]
+
+
+def test_skeletons_tell_delimiters_and_not_words(spark):
+    alike = [("terms", "rice growth; soil", "Duck, wild ;Cacao -- Humidity of the north/south ratio"), ("names", "Baro, Taro; Soma Press", "Office of Soils, Water and Forests of Siga ; Varama, Dahal A."), ("terms", '"rice, wild", soil', '"Maize, commercial" , Taro dormancy of lime/soil')]
+    for kind, a, b in alike:
+        assert skeleton(spark, kind, a) == skeleton(spark, kind, b)
+    apart = [("terms", "a; b", "a, b"), ("terms", "rice/soil", "rice / soil"), ("names", "Toha Lima, Baro Soma", "Lima, Toha"), ("terms", '"a; b", c', '"a"; b, c')]
+    for kind, a, b in apart:
+        assert skeleton(spark, kind, a) != skeleton(spark, kind, b)
