@@ -128,12 +128,8 @@ def labelled_blob(parts: dict[str, Column]) -> Column:
 
 
 def clamp(value: int | None, low: int, high: int, default: int) -> int:
-    """A driver-side parameter within its bounds; None means the default, anything below `low` is an error."""
-    if value is None:
-        return default
-    if value < low:
-        raise ValueError(f"{value} is less than {low}")
-    return min(value, high)
+    """A driver-side parameter brought within its bounds; None means the default."""
+    return default if value is None else max(low, min(value, high))
 
 
 def like_literal(text: str) -> str:

@@ -294,7 +294,7 @@ def search_message(index: DataFrame | None, query: str, encoder: Encoder | None,
     key = options.get("key", "chunk_id")
     found = index.drop("fused_pos", "score").join(F.broadcast(search(index, query, encoder, **options)), key).orderBy(F.desc("score"), "fused_pos")
     rows = [r.asDict() for r in found.select("stem", "page", "text", "score").collect()]
-    return render(rows) if rows else NO_HIT + query
+    return render(rows, query) if rows else NO_HIT + query
 
 
 def status(index: DataFrame | None, encoder: Encoder | None = None, reranker: Reranker | None = None) -> dict:
@@ -357,9 +357,15 @@ def answer(rows: list[dict], query: str, generator: Generator, sentinel: str) ->
     return {"answer": text, "sources": sources, "abstained": False}
 
 
-def render(rows: list[dict]) -> str:
-    """Results as text, one block a row."""
-    return "\n\n".join([f"{len(rows)} results", *(f"[{i}] {r['stem']} (p.{r['page']}, score {r['score']:.2f})\n{' '.join((r['text'] or '').split())[:320]}" for i, r in enumerate(rows, 1))])
+def head_line(place: Column, stem: Column, page: Column, score: Column) -> Column:
+    """The first line of a shown result."""
+    return F.format_string("[%d] %s (p.%s, score %.2f)", place, stem, page.cast("string"), F.bround(score, 2))
+
+
+def render(rows: list[dict], query: str) -> str:
+    """Results as text: how many there are for which query, then each one's place, source, page and score, and its text on one line."""
+    shown = [f"[{i}] {r.get('stem') or r.get('source') or '?'} (p.{r['page']}, score {r['score']:.2f})\n{' '.join((r['text'] or '').split())}\n" for i, r in enumerate(rows, 1)]
+    return "\n".join([f"Top {len(rows)} passage(s) for: {query}\n", *shown])
 
 
 def rank_metrics(ranks: DataFrame, by: list[str], rank: str = "rank", k: int = 5) -> DataFrame:

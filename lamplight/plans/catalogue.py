@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lamplight.operators.packed import split_packed
-from lamplight.plans import catalog, corpus, more, registry, retrieval, star
+from lamplight.plans import catalog, corpus, more, registry, retrieval, roundtrip, star
 from lamplight.plans.registry import ORACLES, QUERIES, query
 from lamplight.session import table
 
@@ -14,4 +14,4 @@ def p2_found(spark, d):
     return split_packed(table(spark, d, "metadata"), "meta_id", {"authors": "names", "subjects": "terms"}).withColumnRenamed("id", "meta_id")
 
 
-__all__ = ["ORACLES", "QUERIES", "catalog", "corpus", "more", "registry", "retrieval", "star"]
+__all__ = ["ORACLES", "QUERIES", "catalog", "corpus", "more", "registry", "retrieval", "roundtrip", "star"]

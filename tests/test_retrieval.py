@@ -60,8 +60,7 @@ def test_search_modes(spark):
 
     assert [r.chunk_id for r in R.search(index, "rice", encoder, k=1, generator=broken).collect()] == ["d1"]
     assert R.search(index, "rice", encoder, k=1, generator=lambda q: "duck duck").count() == 1
-    with pytest.raises(ValueError, match="less"):
-        R.search(index, "rice", encoder, k=0)
+    assert R.search(index, "rice", encoder, k=0).count() == 1
 
 
 def test_metrics(spark):
@@ -77,7 +76,7 @@ def test_passages_and_answers(spark):
     assert R.answer([hit], "q", lambda p: "yes", "NONE")["abstained"] is False
     assert R.answer([hit], "q", lambda p: "NONE of it", "NONE") == {"answer": "", "sources": [], "abstained": True}
     assert R.answer([{**hit, "text": " "}], "q", lambda p: 1 / 0, "NONE") == {"answer": "", "sources": [], "abstained": True}
-    assert R.render([hit]) == "1 results\n\n[1] s (p.1, score 0.50)\nrice"
+    assert R.render([hit, hit], "q") == "Top 2 passage(s) for: q\n\n[1] s (p.1, score 0.50)\nrice\n\n[2] s (p.1, score 0.50)\nrice\n"
     array = spark.createDataFrame([([("s", 2, "t")],)], "p array<struct<stem: string, page: int, text: string>>")
     assert array.select(R.context(F.col("p")).alias("c")).first().c == "[1] (source: s, p.2)\nt"
 
@@ -110,7 +109,7 @@ def test_search_messages_and_status(spark):
     index = embed(docs(spark), "text", encoder).selectExpr("*", "'s' as stem", "1 as page")
     assert R.search_message(None, "rice", encoder) == R.NO_INDEX and R.search_message(index, "rice", None) == R.NO_MODEL
     assert R.search_message(index.where("false"), "rice", encoder) == R.NO_HIT + "rice"
-    assert R.search_message(index, "rice", encoder, k=1).startswith("1 results\n\n[1] s (p.1, score 1.00)\nrice soil rice")
+    assert R.search_message(index, "rice", encoder, k=1) == "Top 1 passage(s) for: rice\n\n[1] s (p.1, score 1.00)\nrice soil rice\n"
     assert R.status(index, encoder) == {"ok": True, "index_ready": True, "embedder_ready": True, "reranker_ready": False, "docs": 5}
     assert R.status(None)["ok"] is False
 
