@@ -10,6 +10,7 @@ from lamplight.operators import retrieval as R
 from lamplight.operators import tables
 from lamplight.plans.registry import SPACE, query
 from lamplight.session import broadcast_if_small, table
+from lamplight.sources.sinks import exists
 
 TERMS = ["dormancy", "irrigation", "nitrogen", "household", "vigour"]
 _DOT = "list_sum(list_transform(generate_series(1, len({a})), lambda i: {a}[i]::DOUBLE * {b}[i]::DOUBLE))"
@@ -77,9 +78,9 @@ _KEPT: dict[str, R.TextIndex] = {}
 
 
 def text_index(spark: SparkSession, d: str) -> R.TextIndex:
-    """The kept text index of a folder's research table, built at its first use in a session and read by every later query."""
+    """The kept text index of a folder's research table, built at its first use in a session, or once the shared folder was emptied, and read by every later query."""
     name = f"{spark.sparkContext.applicationId} {d}"
-    if name not in _KEPT:
+    if name not in _KEPT or not exists(spark, f"{_KEPT[name].path}/terms/_SUCCESS"):
         _KEPT[name] = R.TextIndex.build(table(spark, d, "research"), "row_id", "text")
     return _KEPT[name]
 
