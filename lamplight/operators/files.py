@@ -102,6 +102,17 @@ def work_order(manifest: DataFrame, ties: list[str], limit: int | None = None) -
     return placed if limit is None else placed.where(F.col("place") <= limit)
 
 
+def progress(done: int, total: int, elapsed: float) -> dict:
+    """{percent, rate, eta} of a run: items a second, and the time left as text, "--" while there's no rate."""
+    rate = done / elapsed if elapsed > 0 else 0.0
+    left = "--"
+    if done > 0 and rate > 0:
+        minutes, seconds = divmod(int((total - done) / rate), 60)
+        hours, minutes = divmod(minutes, 60)
+        left = f"{hours}h{minutes:02d}m" if hours else f"{minutes}m{seconds:02d}s"
+    return {"percent": 100.0 * done / max(total, 1), "rate": rate, "eta": left}
+
+
 def latest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
     """One row a key, the newest; a total order in newest_first makes it deterministic."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))

@@ -18,9 +18,9 @@ CHUNKS = "chunk_id string, source string, stem string, page int, chunk_index int
 
 
 def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".pdf",)) -> DataFrame:
-    """(path, length) of files below root with one of the suffixes, whatever their case. Contents aren't read."""
+    """(path, length) of files below root with one of the suffixes, whatever their case, sorted by path. Contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
-    return files.where(T.suffix(F.col("path")).isin(*suffixes))
+    return files.where(T.suffix(F.col("path")).isin(*suffixes)).orderBy("path")
 
 
 def read_binary(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".pdf",)) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,27 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+class AlreadyRunning(RuntimeError):
+    """Another run holds the lock."""
+
+
+@contextmanager
+def run_lock(spark: SparkSession, path: str, stale_seconds: float = 86_400) -> Iterator[None]:
+    """Let one run at a time through: the lock is a file at path, made by an atomic create and removed at the end.
+
+    A lock older than stale_seconds was left by a run that died, and is taken over. Otherwise AlreadyRunning is raised.
+    """
+    fs, p = _fs(spark, path)
+    if fs.exists(p) and time.time() - fs.getFileStatus(p).getModificationTime() / 1000 > stale_seconds:
+        fs.delete(p, False)
+    if not fs.createNewFile(p):
+        raise AlreadyRunning(path)
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
 def append_version(df: DataFrame, path: str, version: int) -> bool:
     """Write df as the folder version=N of path, which appears by one rename; False, and nothing written, if it's there."""
     spark = df.sparkSession

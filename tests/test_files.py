@@ -70,3 +70,9 @@ def test_numbered_rows(spark):
     df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "k int").repartition(5)
     assert [(r.k, r.n) for r in L.numbered_rows(df, ["k"], 10).orderBy("k").collect()] == [(i, 10 + i) for i in range(101)]
     assert L.numbered_rows(df.where("k < 0"), ["k"]).count() == 0
+
+
+def test_progress():
+    assert L.progress(0, 10, 5.0)["eta"] == L.progress(3, 10, 0.0)["eta"] == "--"
+    assert L.progress(10, 40, 100.0) == {"percent": 25.0, "rate": 0.1, "eta": "5m00s"}
+    assert L.progress(1, 101, 60.0)["eta"] == "1h40m"

@@ -1,3 +1,8 @@
+import os
+import time
+
+import pytest
+
 from lamplight.sources import readers, sinks
 
 
@@ -87,3 +92,34 @@ def test_whole_documents(spark):
     files = spark.createDataFrame([("a", bytearray(b"x|y ")), ("b", bytearray(b""))], "path string, content binary")
     got = {r.path: r.text for r in readers.read_documents(files, lambda c: c.decode().split("|") if c else 1 / 0).collect()}
     assert got == {"a": "x\ny", "b": ""}
+
+
+def test_one_run_at_a_time(spark, tmp_path):
+    path = str(tmp_path / "lock")
+    with sinks.run_lock(spark, path):
+        with pytest.raises(sinks.AlreadyRunning), sinks.run_lock(spark, path):
+            pass
+        assert (tmp_path / "lock").exists()
+    assert not (tmp_path / "lock").exists()
+    (tmp_path / "lock").touch()
+    os.utime(path, (time.time() - 100, time.time() - 100))
+    with pytest.raises(sinks.AlreadyRunning), sinks.run_lock(spark, path):
+        pass
+    with sinks.run_lock(spark, path, stale_seconds=50):
+        pass
+
+
+def test_jdbc_ranges(spark, monkeypatch):
+    seen = {}
+
+    class Reader:
+        def __getattr__(self, name):
+            def call(*a, **k):
+                seen.update({a[0]: a[1]} if name == "option" else k)
+                return self
+
+            return call
+
+    monkeypatch.setattr(type(spark), "read", property(lambda self: Reader()))
+    readers.read_jdbc(spark, "jdbc:x", "queue", "id", 1, 100, 4, user="u")
+    assert seen == {"url": "jdbc:x", "dbtable": "queue", "user": "u", "partitionColumn": "id", "lowerBound": 1, "upperBound": 100, "numPartitions": 4}
