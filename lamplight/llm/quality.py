@@ -93,10 +93,9 @@ def profile(stats: DataFrame, k: int = 400) -> DataFrame:
 def scored(stats: DataFrame, k: int = 400) -> DataFrame:
     """The statistics with a robust z-score z_<name> of each, and relative_common, the share of common words as a part of its median, against the profile of the text's likeliest language, or of all if that has none."""
     p = profile(stats, k).drop("documents")
-    columns = p.columns[1:]
-    langs = stats.sparkSession.createDataFrame([(x,) for x in LANGS], "lang string")
-    whole = p.where(F.col("lang") == ANY).select(*(F.col(c).alias(f"any_{c}") for c in columns))
-    p = langs.join(F.broadcast(p), "lang", "left").join(F.broadcast(whole), how="left").select("lang", *(F.coalesce(c, f"any_{c}").alias(c) for c in columns))
+    found = {r.lang: r for r in p.collect()}  # a row a language
+    rows = [(lang, *(found.get(lang) or found.get(ANY) or [None] * len(p.columns))[1:]) for lang in LANGS]
+    p = stats.sparkSession.createDataFrame(rows, "lang string, " + ", ".join(f"{c} double" for c in p.columns[1:]))
     z = [((F.col(m) - F.col(f"{m}_median")) / F.col(f"{m}_spread")).alias(f"z_{m}") for m in MEASURES]
     return stats.join(F.broadcast(p), "lang", "left").select(*stats.columns, *z, (F.col("common_ratio") / F.col("common_ratio_median")).alias("relative_common"))
 
