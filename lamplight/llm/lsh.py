@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -14,59 +14,82 @@ from pyspark.sql import functions as F
 from lamplight.llm.words import mix
 from lamplight.session import materialize
 
-PAIRS = "a long, b long, bucket long, part int, parts int, ids array<long>"
-_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("ids", pa.list_(pa.int64()))])
+PAIRS = "a long, b long, bucket long, part int, parts int, ids array<long>, more array<long>"
+_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bucket", pa.int64()), ("part", pa.int32()), ("parts", pa.int32()), ("ids", pa.list_(pa.int64())), ("more", pa.list_(pa.int64()))])
+#: Whether the sketches of each pair, as rows of two equal tables, let it be one.
+Keep = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def _pairs_of_sorted(block: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key, id. Small buckets give pairs a < b, large ones their ids in blocks (bucket, part, parts, ids)."""
+def _pairs_of_sorted(block: int, keep: Keep | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key, id, with sketches after these. Small buckets give the pairs a < b that keep lets pass, large ones their ids and sketches in blocks (bucket, part, parts, ids, more)."""
 
     def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *(pa.nulls(len(a), f.type) for f in list(_SCHEMA)[2:])], schema=_SCHEMA)
 
-    def bucket(key: int, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def bucket(key: int, ids: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
         starts = range(0, len(ids), block)
         for n, i in enumerate(starts):
             none = pa.nulls(1, pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array([key]), pa.array([n], pa.int32()), pa.array([len(starts)], pa.int32()), pa.array([ids[i : i + block]], pa.list_(pa.int64()))], schema=_SCHEMA)
+            lists = (pa.array([x[i : i + block].ravel()], pa.list_(pa.int64())) for x in (ids, more))
+            yield pa.RecordBatch.from_arrays([none, none, pa.array([key]), pa.array([n], pa.int32()), pa.array([len(starts)], pa.int32()), *lists], schema=_SCHEMA)
 
-    def emit(key: np.ndarray, one: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def emit(key: np.ndarray, one: np.ndarray, more: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(key):
             return
-        keep = np.concatenate([[True], (key[1:] != key[:-1]) | (one[1:] != one[:-1])])
-        key, one = key[keep], one[keep]
+        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (one[1:] != one[:-1])])
+        key, one, more = key[fresh], one[fresh], more[fresh]
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
         size = np.diff(edge)
         for i in np.flatnonzero(size > block):
-            yield from bucket(int(key[edge[i]]), one[edge[i] : edge[i + 1]])
+            yield from bucket(int(key[edge[i]]), one[edge[i] : edge[i + 1]], more[edge[i] : edge[i + 1]])
         cold = np.repeat((size > 1) & (size <= block), size)
-        key, one = key[cold], one[cold]
-        for gap in range(1, len(key)):
-            same = key[gap:] == key[:-gap]
-            if not same.any():
-                break
-            yield out(one[:-gap][same], one[gap:][same])
-
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []  # the bucket that may go on in the next batch
+        key, one, more = key[cold], one[cold], more[cold]
+        first, gap = np.arange(len(key)), 0  # of the rows whose bucket goes on beyond the gap
+        while len(first):
+            gap += 1
+            first = first[: np.searchsorted(first, len(key) - gap)]
+            first = first[key[first] == key[first + gap]]
+            for i in range(0, len(first), 100_000):
+                x = first[i : i + 100_000]
+                x = x[keep(more[x], more[x + gap])] if keep else x
+                if len(x):
+                    yield out(one[x], one[x + gap])
+
+    waiting: list[tuple[np.ndarray, ...]] = []  # the bucket that may go on in the next batch
     for batch in batches:
         key, one = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+        more = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[2:]], 1) if batch.num_columns > 2 else np.empty((len(key), 0), np.int64)
         if not len(key):
             continue
         if waiting and waiting[0][0][0] != key[-1]:
             first = int(np.searchsorted(key, key[-1]))
-            waiting.append((key[:first], one[:first]))
+            waiting.append((key[:first], one[:first], more[:first]))
             yield from emit(*map(np.concatenate, zip(*waiting, strict=True)))
-            waiting = [(key[first:], one[first:])]
+            waiting = [(key[first:], one[first:], more[first:])]
         elif not waiting:
             first = int(np.searchsorted(key, key[-1]))
-            yield from emit(key[:first], one[:first])
-            waiting = [(key[first:], one[first:])]
+            yield from emit(key[:first], one[:first], more[:first])
+            waiting = [(key[first:], one[first:], more[first:])]
         else:
-            waiting.append((key, one))
+            waiting.append((key, one, more))
     if waiting:
         yield from emit(*map(np.concatenate, zip(*waiting, strict=True)))
 
 
+def _pairs_of_two_blocks(keep: Keep, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs a < b of each row's two blocks (ids, sketches, ids, sketches) that keep lets pass."""
+    for batch in it:
+        for r in range(len(batch)):
+            xs, xm, ys, ym = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(4))
+            xm, ym = xm.reshape(len(xs), -1), ym.reshape(len(ys), -1)
+            step = max(1, 200_000 // max(1, len(ys)))
+            for i in range(0, len(xs), step):
+                a, b = np.nonzero(xs[i : i + step, None] < ys[None, :])
+                a += i
+                good = keep(xm[a], ym[b])
+                yield pa.RecordBatch.from_arrays([pa.array(xs[a[good]]), pa.array(ys[b[good]])], ["a", "b"])
+
+
 def pairs_of_blocks(hot: DataFrame, columns: list[str]) -> DataFrame:
     """(xs, ys) of every two blocks of one bucket, a block with itself included, as structs of `columns`; hot has bucket, part, parts and these.
 
@@ -77,17 +100,24 @@ def pairs_of_blocks(hot: DataFrame, columns: list[str]) -> DataFrame:
     return met.select(F.get("both", F.lit(0))["x"].alias("xs"), F.element_at("both", -1)["x"].alias("ys"))
 
 
-def candidate_pairs(rows: DataFrame, name: str, block: int = 512) -> DataFrame:
-    """The distinct pairs (a < b) of ids that share a bucket in rows(key long, id long).
+def candidate_pairs(rows: DataFrame, name: str, block: int = 512, keep: Keep | None = None) -> DataFrame:
+    """The distinct pairs (a < b) of ids that share a bucket in rows(key long, id long) and that keep, if given, lets pass by their sketches.
+
+    Sketches are the long columns after these two, the same in every row of an id. Pairs that share a bucket by chance grow with the square of
+    the rows; keep meets them where they arise, so that they cost time and are neither written nor shuffled.
 
-    One shuffle by key; ids of a bucket are streamed in order, so that a bucket takes eight bytes an id. A bucket of more
+    One shuffle by key; ids of a bucket are streamed in order, so that a bucket takes eight bytes an id, and its sketch. A bucket of more
     than `block` ids leaves as blocks of ids, which meet each other and are multiplied out spread over all tasks: no task
     holds more than block * block pairs at a time, and no pair is left out. An empty table gives no pairs.
     """
-    ordered = rows.select("key", "id").repartition("key").sortWithinPartitions("key", "id")
-    found = materialize(ordered.mapInArrow(partial(_pairs_of_sorted, block), PAIRS), name)
-    hot = pairs_of_blocks(found.where("ids is not null"), ["ids"])
-    hot = hot.select(F.explode("xs.ids").alias("a"), F.col("ys.ids").alias("y")).select("a", F.explode("y").alias("b")).where("a < b")
+    ordered = rows.repartition("key").sortWithinPartitions("key", "id")
+    found = materialize(ordered.mapInArrow(partial(_pairs_of_sorted, block, keep), PAIRS), name)
+    if keep:
+        met = pairs_of_blocks(found.where("ids is not null"), ["ids", "more"]).select(*(F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("xs", "ys") for c in ("ids", "more")))
+        hot = met.mapInArrow(partial(_pairs_of_two_blocks, keep), "a long, b long")
+    else:
+        hot = pairs_of_blocks(found.where("ids is not null"), ["ids"])
+        hot = hot.select(F.explode("xs.ids").alias("a"), F.col("ys.ids").alias("y")).select("a", F.explode("y").alias("b")).where("a < b")
     return found.where("a is not null").select("a", "b").unionByName(hot).distinct()
 
 

@@ -12,7 +12,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamplight.llm.alignment import aligned
@@ -73,7 +73,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _map(what: str, unit: str, k: int, sample: int, tables: int, shingle: int, least: int, wanted, it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of texts(id, text) the 'keys' (key, class), the 'classes' (id, class, sketch), or the unit 'sequences' of the wanted classes."""
+    """Of texts(id, text) the 'keys' (key, class, sketch), the 'classes' (id, class), or the unit 'sequences' of the wanted classes."""
     for batch in it:
         ids, texts = batch.column(0), batch.column(1).to_pylist()
         for i, j in batches(texts):
@@ -86,13 +86,13 @@ def _map(what: str, unit: str, k: int, sample: int, tables: int, shingle: int, l
             h = h[np.arange(begin[-1]) + np.repeat(first[:-1][keep] - begin[:-1], count)]
             cls = sequence_hash(h, begin)
             if what == "classes":
-                s = bin_sketch(*distinct(*grams(h, begin, shingle)))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i).take(pa.array(keep)), _signed(cls), *(_signed(s[:, c]) for c in range(4))], ["id", "cls", "s0", "s1", "s2", "s3"])
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i).take(pa.array(keep)), _signed(cls)], ["id", "cls"])
                 continue
             _, once = np.unique(cls, return_index=True)
             if what == "keys":
                 keys = sketch_keys(h, begin, k, sample, tables)[once]
-                yield pa.RecordBatch.from_arrays([_signed(keys.ravel()), _signed(np.repeat(cls[once], tables))], ["key", "id"])
+                s = bin_sketch(*distinct(*grams(h, begin, shingle)))[once]
+                yield pa.RecordBatch.from_arrays([_signed(keys.ravel()), *(_signed(np.repeat(x, tables)) for x in (cls[once], *s.T))], ["key", "id", "s0", "s1", "s2", "s3"])
                 continue
             once = once[may_be_in(wanted.value, cls[once])]
             size = count[once]
@@ -127,18 +127,17 @@ def _verify(shingle: int, threshold: float, band: int, it: Iterator[pa.RecordBat
             yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(jaccard[good]), edit], ["a", "b", "similarity", "edit_similarity"])
 
 
-def _nonzero_nibbles(x: Column) -> Column:
-    y = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    y = y.bitwiseOR(F.shiftrightunsigned(y, 2))
-    return F.bit_count(y.bitwiseAND(F.lit(0x1111111111111111)))
+def _nonzero_nibbles(x: np.ndarray) -> np.ndarray:
+    y = x | (x >> np.uint64(1))
+    y |= y >> np.uint64(2)
+    return np.bitwise_count(y & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64)
 
 
-def _may_reach(threshold: float) -> Column:
-    """Whether the sketches of a and b leave the threshold within four standard deviations."""
-    cols = range(4)
-    differ = sum((_nonzero_nibbles(F.col(f"a{c}").bitwiseXOR(F.col(f"b{c}"))) for c in cols), F.lit(0))
-    filled = sum((_nonzero_nibbles(F.col(f"a{c}").bitwiseOR(F.col(f"b{c}"))) for c in cols), F.lit(0))
-    return (filled - differ) >= F.lit(threshold) * filled - F.lit(2.0) * F.sqrt(filled)
+def _may_reach(threshold: float, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the sketches of each pair, as rows of a and b, leave the threshold within four standard deviations."""
+    a, b = np.ascontiguousarray(a).view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
+    differ, filled = _nonzero_nibbles(a ^ b), _nonzero_nibbles(a | b)
+    return filled - differ >= threshold * filled - 2.0 * np.sqrt(filled)
 
 
 class NearDuplicates:
@@ -149,7 +148,8 @@ class NearDuplicates:
     class; candidates are sought between classes only, so a hot group of copies costs one sketch a batch of rows.
 
     Candidates share, in at least one of `tables` random orders, the `sample` least occurrence-labelled k-mers in equal text order.
-    A bit sketch (64 bins) then discards pairs that are out of reach by four standard deviations. The unit sequences of what's left, found by a
+    A bit sketch (64 bins), which goes along with the keys, discards pairs that are out of reach by four standard deviations where a bucket is
+    read, before they're written or shuffled. The unit sequences of what's left, found by a
     filter of fixed size whatever the number of records, meet once, are compared by their exact shingle sets and aligned within `band` edits.
 
     Texts that are null or have fewer than `least` units belong to no class and have no row. Ids that repeat count as one record.
@@ -161,7 +161,7 @@ class NearDuplicates:
         self.rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
         self.kind = dict(self.rows.dtypes)["id"]
         self._args = (unit, k, sample, tables, shingle, max(least, shingle))
-        self.classes = materialize(self._mapped("classes", f"id {self.kind}, cls long, s0 long, s1 long, s2 long, s3 long"), f"{name}-classes")
+        self.classes = materialize(self._mapped("classes", f"id {self.kind}, cls long"), f"{name}-classes")
 
     def _mapped(self, what: str, schema: str, wanted=None) -> DataFrame:
         return self.rows.mapInArrow(partial(_map, what, *self._args, wanted), schema)
@@ -171,10 +171,8 @@ class NearDuplicates:
 
         edit_similarity is 1 less the units edited, as a share of the longer text's; null beyond `band` edits, as when passages are reordered.
         """
-        pairs = candidate_pairs(self._mapped("keys", "key long, id long"), f"{self.name}-candidates")
-        sketch = materialize(self.classes.groupBy("cls").agg(*(F.min(f"s{c}").alias(f"s{c}") for c in range(4))), f"{self.name}-sketches")
-        side = lambda x: sketch.select(F.col("cls").alias(x), *(F.col(f"s{c}").alias(f"{x}{c}") for c in range(4)))
-        near = materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(_may_reach(self.threshold)).select("a", "b"), f"{self.name}-near")
+        keys = self._mapped("keys", "key long, id long, s0 long, s1 long, s2 long, s3 long")
+        near = materialize(candidate_pairs(keys, f"{self.name}-candidates", keep=partial(_may_reach, self.threshold)), f"{self.name}-near")
         wanted = key_filter(near.select("a").unionByName(near.select(F.col("b").alias("a"))), 2 * near.count())
         units = materialize(self._mapped("sequences", "cls long, units array<long>", wanted).dropDuplicates(["cls"]), f"{self.name}-units")
         both = near.join(units.select(F.col("cls").alias("a"), F.col("units").alias("ua")), "a").join(units.select(F.col("cls").alias("b"), F.col("units").alias("ub")), "b")

@@ -160,3 +160,35 @@ def test_key_filter(spark):
     assert may_be_in(bitmap, have).all()
     assert may_be_in(bitmap, W.mix(np.arange(10_000, dtype=np.uint64))).mean() < 0.2
     assert not may_be_in(key_filter(keys.limit(0), 0).value, have).any()
+
+
+def test_pairs_by_chance_are_not_written(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from lamplight.llm import lsh
+
+    written = {}
+    keep = lambda df, name: written.setdefault(name, materialize(df, name))
+    materialize = lsh.materialize
+    monkeypatch.setattr(lsh, "materialize", keep)
+    near = lambda a, b: np.abs(a[:, 0] - b[:, 0]) <= 1
+    rows = spark.range(100).selectExpr("7L as key", "id", "id as s").unionByName(spark.range(50, 60).selectExpr("8L as key", "id", "id as s"))
+    for block in (16, 512):  # in blocks, and in one task
+        written.clear()
+        got = sorted((r.a, r.b) for r in lsh.candidate_pairs(rows, "t", block, near).collect())
+        assert got == [(a, a + 1) for a in range(99)]
+        assert written["t"].where("a is not null").count() == (9 if block == 16 else 99 + 9)
+    edges = spark.createDataFrame([(1, 5, 0), (1, 9, 5), (1, 9, 5), (2, 3, 0)], "key long, id long, s long")
+    assert lsh.candidate_pairs(edges, "t2", keep=near).count() == 0 and lsh.candidate_pairs(edges.where("false"), "t3", keep=near).count() == 0
+
+
+def test_sketches_of_classes_meet_in_their_buckets(spark, monkeypatch):
+    from lamplight.llm import lsh
+
+    written = {}
+    materialize = lsh.materialize
+    monkeypatch.setattr(lsh, "materialize", lambda df, name: written.setdefault(name, materialize(df, name)))
+    shared = "in the year of the survey"  # all texts have these words, and nothing else, in common
+    df = spark.createDataFrame([(i, f"{shared} " + " ".join(f"w{i}x{j}" for j in range(150))) for i in range(200)], "id int, text string")
+    assert NearDuplicates(df, "id", "text", sample=1, name="chance").class_pairs().count() == 0
+    assert written["chance-candidates"].count() == 0
