@@ -22,6 +22,8 @@ INDEX = "chunk_id string, source string, stem string, page int, chunk_index int,
 OUTCOMES = "id long, error string, at timestamp"
 #: Rows of one batch asked for over the network, by default and at most.
 LIMIT, MOST = 25, 200
+#: Rows of one batch of drain_all(), which nobody waits for: a batch costs the same few jobs whether it's small or large.
+BULK = 100_000
 
 
 def _encoded(encoder: Encoder, batch: int, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,8 +109,11 @@ class Drain:
 
     def drain(self, limit: int | None = None) -> dict:
         """Apply one batch of up to `limit` rows (1 to 200, 25 by default): {processed, failed, remaining, took_ms}."""
+        return self._batch(clamp(limit, 1, MOST, LIMIT))
+
+    def _batch(self, limit: int) -> dict:
         began = time.monotonic()
-        rows = materialize(claim(self.queue(), clamp(limit, 1, MOST, LIMIT)), "drain-batch")
+        rows = materialize(claim(self.queue(), limit), "drain-batch")
         size = rows.count()
         failed = 0
         if size and not self.dry_run:
@@ -121,11 +126,14 @@ class Drain:
         remaining = self.queue().where(claimable()).count()
         return {"processed": size - failed, "failed": failed, "remaining": remaining, "took_ms": int((time.monotonic() - began) * 1000)}
 
-    def drain_all(self, limit: int = MOST) -> dict:
-        """Batches until nothing waits; a row that keeps failing is tried five times."""
+    def drain_all(self, limit: int = BULK) -> dict:
+        """Batches of up to `limit` rows until nothing waits; a row that keeps failing is tried five times.
+
+        Rows of one id in one batch give what they give in batches that follow each other: its last action.
+        """
         total = {"processed": 0, "failed": 0, "remaining": 0, "took_ms": 0}
         while True:
-            done = self.drain(limit)
+            done = self._batch(max(1, limit))
             total = {k: done[k] if k == "remaining" else total[k] + done[k] for k in total}
             if self.dry_run or not done["remaining"]:
                 return total

@@ -199,3 +199,23 @@ def test_breaker():
     assert not b.open
     b.report(False)
     assert b.open
+
+
+def test_long_queue_takes_few_batches(spark, tmp_path):
+    rows = [(i, 1 + i % 5, "delete" if i % 7 == 0 else "upsert", 0, i) for i in range(1, 1001)]
+    drain = drain_at(spark, tmp_path, rows)
+    assert drain.drain_all() | {"took_ms": 0} == {"processed": 1000, "failed": 0, "remaining": 0, "took_ms": 0}
+    assert len(list((tmp_path / "i/outcomes").iterdir())) == 1
+    assert chunks(drain.index()) == chunks(sync.apply_batch(index(spark), queue(spark, rows).where(sync.claimable()), view(spark)))
+    bounded = drain_at(spark, tmp_path / "bounded", rows)
+    assert bounded.drain(5000)["processed"] == 200  # a batch asked for over the network
+
+
+def test_bulk_batches_equal_small_ones(spark, tmp_path):
+    rows = [(i, 1 + i % 5, "delete" if i % 3 == 0 else "upsert", 0, i) for i in range(1, 31)]
+    small, large = (drain_at(spark, tmp_path / n, rows) for n in ("small", "large"))
+    small.drain_all(20)
+    large.drain_all()
+    assert chunks(small.index()) == chunks(large.index())
+    state = lambda d: sorted((r.id, r.processed_at is not None, r.attempts, r.error) for r in d.queue().collect())
+    assert state(small) == state(large)
