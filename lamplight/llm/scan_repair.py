@@ -8,17 +8,24 @@ probabilities are estimated on the corpus, and a Viterbi search weighs them with
 
 from __future__ import annotations
 
+import atexit
 import logging
 import math
 import re
+import shutil
+import sqlite3
+import tempfile
+import uuid
 from collections.abc import Collection, Iterator
-from functools import partial
+from functools import lru_cache, partial
 from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +45,7 @@ HEADINGS = set(
     "abstract acknowledgement acknowledgements acknowledgment acknowledgments appendix appendices background bibliography conclusion conclusions contents discussion foreword glossary introduction limitations limitationsofthestudy listoffigures listoftables literaturecited materialsandmethods methodology methods objectives preface recommendation recommendations references results resultsanddiscussion reviewofliterature scopeandlimitations significanceofthestudy statementoftheproblem summary summaryandconclusions tableofcontents theoreticalframework itemsneeded".split()
 )
 _log = logging.getLogger(__name__)
-#: Words of the channel's vocabulary: the most frequent ones, at most so many; and twice as many bigrams.
+#: Words of the channel's vocabulary that are held in memory: the most frequent ones, at most so many; and twice as many bigrams. The rest are kept in a file.
 VOCABULARY = 200_000
 #: Counts of words and bigrams that a task of the survey holds before it gives them out.
 PARTIAL_COUNTS = 1_000_000
@@ -233,18 +240,45 @@ def _variants(word: str, rules: list[tuple[str, str]]) -> Iterator[tuple[str, tu
                 yield "".join(out) + word[last:], (r,)
 
 
+@lru_cache(maxsize=1)
+def _opened(name: str) -> sqlite3.Connection:
+    return sqlite3.connect(f"file:{SparkFiles.get(name)}?mode=ro&immutable=1", uri=True, check_same_thread=False)
+
+
+@lru_cache(maxsize=300_000)
+def _stored(name: str, what: str, word: str) -> int:
+    row = _opened(name).execute("SELECT n FROM counts WHERE what = ? AND word = ?", (what, word)).fetchone()
+    return row[0] if row else 0
+
+
+class Counts(NamedTuple):
+    """Counts of words or bigrams: the most frequent in memory, the rest, if any, which have `most` at most, in the file `rest` that every executor has."""
+
+    held: dict[str, int]
+    what: str
+    rest: str | None = None
+    most: int = 0
+
+    def beyond(self, word: str, least: int = 1) -> int:
+        """The count of a word that isn't held; one below `least` may be told as 0, so that it needn't be looked up."""
+        return _stored(self.rest, self.what, word) if self.rest and self.most >= least else 0
+
+
 class Channel:
     """Vocabulary, function-word bigrams and confusion probabilities."""
 
-    def __init__(self, words: dict[str, int], pairs: dict[str, int], chance: list[float] | None = None):
-        self.words, self.pairs = words, pairs
-        self.total = max(1, sum(words.values()))
+    def __init__(self, words: dict[str, int] | Counts, pairs: dict[str, int] | Counts, chance: list[float] | None = None, total: int | None = None):
+        self.more_words = words if isinstance(words, Counts) else Counts(words, "word")
+        self.more_pairs = pairs if isinstance(pairs, Counts) else Counts(pairs, "pair")
+        self.words, self.pairs = self.more_words.held, self.more_pairs.held
+        self.total = max(1, sum(self.words.values()) if total is None else total)
         self.chance = chance or [1e-3] * len(CONFUSIONS)
         self.memo: dict[str, list[tuple[str, float]] | None] = {}
         self.clean: set[str] = set()
 
-    def count(self, word: str) -> int:
-        return self.words.get(word, 0)
+    def count(self, word: str, least: int = 1) -> int:
+        """The corpus' count of a word; one below `least` may be told as 0."""
+        return self.words.get(word) or self.more_words.beyond(word, least)
 
     def candidates(self, token: str) -> list[tuple[str, float]] | None:
         """(word, log of channel times prior count) of each candidate for a token, itself included; None if it surely stands."""
@@ -258,13 +292,13 @@ class Channel:
         if letters and len(word) >= 2 and letters * 2 >= len(word) and not re.search(r"\d{2}", word) and own < 0.02 * self.total:
             one: dict[str, tuple[float, float]] = {}
             for v, (r,) in _variants(word, CONFUSIONS):
-                n = self.count(v)
+                n = self.count(v, 1 if odd else own + 1)
                 if n and v.replace("-", "").replace("'", "").isalpha() and (n > own or odd):
                     one[v] = max(one.get(v, (0.0, 0.0)), (n * self.chance[r], n))
             if not one and own <= 2 and len(word) >= 6 and (odd or token[0].islower()):
                 for v, (r,) in _variants(word, CONFUSIONS):
                     for u, (q,) in _variants(v, CONFUSIONS):
-                        n = self.count(u)
+                        n = self.count(u, 20)
                         if n >= 20 and u.isalpha():
                             one[u] = max(one.get(u, (0.0, 0.0)), (n * self.chance[r] * self.chance[q] * 10, n))
             if odd and not one and letters >= 3:
@@ -290,8 +324,9 @@ class Channel:
     def _step(self, before: str, word: str) -> float:
         """How much likelier the bigram makes the word than its count alone; only function words have bigrams."""
         if before in _FUNCTION or word in _FUNCTION:
-            n, m, own = self.pairs.get(f"{before} {word}", 0), self.count(before), self.count(word)
+            m, own = self.count(before), self.count(word)
             if m and own:
+                n = self.pairs.get(f"{before} {word}") or self.more_pairs.beyond(f"{before} {word}")
                 return math.log((0.5 * n / m + 0.5 * own / self.total) / (own / self.total))
         return 0.0
 
@@ -330,13 +365,13 @@ class Channel:
 
 
 def _confident(shared, it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words = shared.value
+    words: Counts = shared.value
     for df in it:
         rule, n = [], []
         for word, count in zip(df["word"], df["n"], strict=True):
             if len(word) < 5:
                 continue
-            hits = {(v, r) for v, (r,) in _variants(word, CONFUSIONS) if words.get(v, 0) >= 50 * count}
+            hits = {(v, r) for v, (r,) in _variants(word, CONFUSIONS) if (words.held.get(v) or words.beyond(v, 50 * count)) >= 50 * count}
             if len({v for v, _ in hits}) == 1:
                 for _, r in hits:
                     rule.append(r)
@@ -423,12 +458,41 @@ def paragraphs(text: str) -> str:
     return "\n\n".join(out)
 
 
-def _most_frequent(counted: DataFrame, most: int, what: str) -> dict[str, int]:
-    """The counts of the `most` most frequent ones; a warning tells when others are left out."""
+def _most_frequent(counted: DataFrame, most: int, what: str) -> tuple[dict[str, int], DataFrame | None, int]:
+    """The counts of the `most` most frequent ones, the others as a table, if there are any, and their highest count; a warning tells of these."""
     rows = counted.orderBy(F.desc("n"), "word").limit(most + 1).select("word", "n").collect()
-    if len(rows) > most:
-        _log.warning("of the %s only the %d most frequent are used; the rarer ones, from count %d down, are left out", what, most, rows[-1].n)
-    return {r.word: r.n for r in rows[:most]}
+    known = {r.word: r.n for r in rows[:most]}
+    if len(rows) <= most:
+        return known, None, 0
+    first = rows[most]
+    _log.warning("of the %s only the %d most frequent are held in memory; the rarer ones, from count %d down, are looked up in a file", what, most, first.n)
+    return known, counted.where((F.col("n") < first.n) | ((F.col("n") == first.n) & (F.col("word") >= first.word))), first.n
+
+
+def _kept_in_file(rests: list[DataFrame]) -> str:
+    """The name of a file, sent to every executor, with the counts of rests(what, word, n); a part of them is in memory at a time."""
+    spark = rests[0].sparkSession
+    name = f"lamplight-counts-{uuid.uuid4().hex}.db"
+    folder = tempfile.mkdtemp(prefix="lamplight-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    file = sqlite3.connect(f"{folder}/{name}")
+    file.execute("PRAGMA journal_mode = OFF")
+    file.execute("CREATE TABLE counts (what TEXT, word TEXT, n INTEGER, PRIMARY KEY (what, word)) WITHOUT ROWID")
+    for rest in rests:
+        file.executemany("INSERT INTO counts VALUES (?, ?, ?)", rest.select("what", "word", "n").orderBy("what", "word").toLocalIterator())
+    file.commit()
+    file.close()
+    spark.sparkContext.addFile(f"{folder}/{name}")
+    return name
+
+
+def _vocabulary(counted: DataFrame) -> tuple[Counts, Counts]:
+    """All words of more than one occurrence and bigrams of more than four."""
+    words, more_words, top_word = _most_frequent(counted.where("what = 'word' and n > 1"), VOCABULARY, "words")
+    pairs, more_pairs, top_pair = _most_frequent(counted.where("what = 'pair' and n > 4"), 2 * VOCABULARY, "bigrams")
+    rests = [x for x in (more_words, more_pairs) if x is not None]
+    file = _kept_in_file(rests) if rests else None
+    return Counts(words, "word", file if more_words is not None else None, top_word), Counts(pairs, "pair", file if more_pairs is not None else None, top_pair)
 
 
 def repair_scans(rows: DataFrame, with_text: bool = True, name: str = "scans") -> DataFrame:
@@ -436,20 +500,24 @@ def repair_scans(rows: DataFrame, with_text: bool = True, name: str = "scans") -
 
     repaired is null unless with_text. kind 'line' is a running header, footer or page number, 'hyphen' a word that a line break cut, 'misread' a word with misread characters.
     Null texts have no row; blank ones have nothing found. Rows that repeat are repaired each; an empty table gives none. Only texts with lines to
-    drop, told by a filter of fixed size, are shuffled, to meet these. What's collected is
+    drop, told by a filter of fixed size, are shuffled, to meet these. What's held in memory is
     bounded: VOCABULARY words, twice as many bigrams with function words, and one number a confusion. Of more, the most frequent are
-    used and a warning is logged.
+    held so, the others looked up in a file that every executor gets, and a warning is logged; results are the same.
     """
     spark = rows.sparkSession
     rows = rows.select("tab", "rec", "stem", "text").where("text is not null").withColumn("uid", F.xxhash64("tab", "rec", "text"))
     survey = materialize(rows.select("uid", "stem", "text").mapInArrow(_survey, "what string, uid long, stem string, word string, line long, form long, interrupts long, beside long, n long"), f"{name}-survey")
     counted = materialize(survey.where("what <> 'line'").groupBy("what", "word").agg(F.sum("n").alias("n")).where("n > 1 or what = 'word'"), f"{name}-counts")
-    words = _most_frequent(counted.where("what = 'word' and n > 1"), VOCABULARY, "words")
-    pairs = _most_frequent(counted.where("what = 'pair' and n > 4"), 2 * VOCABULARY, "bigrams")
+    words, pairs = _vocabulary(counted)
     vocabulary = spark.sparkContext.broadcast(words)
     wrong = {r.rule: r.n for r in counted.where("what = 'word'").select("word", "n").mapInPandas(partial(_confident, vocabulary), "rule long, n double").groupBy("rule").agg(F.sum("n").alias("n")).collect()}
-    chance = [max(2e-6, min(0.05, (wrong.get(r, 0) + 0.5) / (1000 + sum(n for w, n in words.items() if right in w)))) for r, (_, right) in enumerate(CONFUSIONS)]
-    channel = spark.sparkContext.broadcast(Channel(words, pairs, chance))
+    if words.rest:
+        holding = [F.coalesce(F.sum(F.when(F.contains("word", F.lit(right)), F.col("n"))), F.lit(0)) for _, right in CONFUSIONS]
+        total, *written = counted.where("what = 'word' and n > 1").agg(F.sum("n"), *holding).first()
+    else:
+        total, written = sum(words.held.values()), [sum(n for w, n in words.held.items() if right in w) for _, right in CONFUSIONS]
+    chance = [max(2e-6, min(0.05, (wrong.get(r, 0) + 0.5) / (1000 + n))) for r, n in enumerate(written)]
+    channel = spark.sparkContext.broadcast(Channel(words, pairs, chance, total))
 
     lines = survey.where("what = 'line'").select("uid", "stem", "word", "line", "form", "interrupts", "beside")
     # Page numbers need no evidence of others, and would all meet on one empty key.

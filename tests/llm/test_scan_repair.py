@@ -108,3 +108,13 @@ def test_left_part_of_any_length():
 def test_contents_keep_their_signed_page_numbers():
     lines = [f"Chapter on rice {i}   {i}" for i in range(3, 10)] + ["- 12 -"]
     assert [x[0] for x in candidate_lines(lines)] == [7]
+
+
+def test_what_memory_does_not_hold_counts_too(spark, monkeypatch):
+    df = spark.createDataFrame(rows(), "tab string, rec string, stem string, text string")
+    result = lambda: {(r.tab, r.rec, r.repaired, frozenset(map(tuple, r.found))) for r in repair_scans(df).collect()}
+    want = result()
+    assert any(kind == "misread" for *_, found in want for kind, _ in found)
+    for most in (1, 5):
+        monkeypatch.setattr(scan_repair, "VOCABULARY", most)
+        assert result() == want
